@@ -17,6 +17,10 @@ def key_text(keys: Sequence[str]) -> Column:
 
 
 def hash_bucket(text: Column, buckets: int) -> Column:
-    """Bucket 0..buckets-1 from the leading 32 bits of the MD5 of ``text``."""
+    """Bucket 0..buckets-1 from the leading 32 bits of the MD5 of ``text``.
+
+    Declared free of nulls, so that joining on it adds no filter to one side
+    and Spark can share the shuffle of both.
+    """
     head = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(head, F.lit(buckets))
+    return F.coalesce(F.pmod(head, F.lit(buckets)), F.lit(0))

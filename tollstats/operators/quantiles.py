@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-VALUE_BUCKETS = 65536
+# Buckets per unit of the logarithm: 43,000 cover the ints, 1.5 million all doubles.
+LOG_SCALE = 1000
+
+
+def _value_bucket(x: Column) -> Column:
+    """A bucket number that never falls as x grows; buckets widen with the size of x.
+
+    Declared free of nulls, so that both users of the value counts share their shuffle.
+    """
+    x = x.cast("double")
+    return F.coalesce(F.floor(F.signum(x) * F.log1p(F.abs(x)) * LOG_SCALE), F.lit(0))
 
 
 def exact_quantiles(
@@ -16,48 +26,47 @@ def exact_quantiles(
     """One row with, per named probability p, the ceil(p*n)-th smallest value.
 
     Nulls and NaN are left out; without values the row holds nulls. Equal
-    values are counted first, and the counts are accumulated inside value
-    buckets and across at most VALUE_BUCKETS bucket totals, so no task ever
-    holds the whole column. An int column puts at most 65536 distinct values
-    into a bucket.
+    values are counted first. The counts are accumulated inside value buckets,
+    and only the bucket totals, whose number has a fixed bound, meet in one
+    task. One scan serves all probabilities.
     """
     value = F.col(column)
     counts = (
         frame.where(value.isNotNull() & ~F.isnan(value.cast("double")))
         .groupBy(value.alias("x"))
         .agg(F.count("*").alias("n"))
+        .withColumn("bucket", _value_bucket(F.col("x")))
     )
-    span = counts.agg(
-        F.min("x").cast("double").alias("low"),
-        F.max("x").cast("double").alias("high"),
-        F.sum("n").alias("total"),
-    )
-    span = span.select(F.struct("low", "high", "total")).scalar()
-    width = F.nullif(span["high"] - span["low"], F.lit(0.0))
-    position = (F.col("x").cast("double") - span["low"]) / width * VALUE_BUCKETS
-    bucket = F.coalesce(F.least(F.floor(position), F.lit(VALUE_BUCKETS - 1)), F.lit(0))
-    bucketed = counts.withColumn("bucket", bucket)
-
-    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    by_bucket = Window.orderBy("bucket")
+    earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
+    everything = by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     shifts = (
-        bucketed.groupBy("bucket")
+        counts.groupBy("bucket")
         .agg(F.sum("n").alias("size"))
-        .select("bucket", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("shift"))
+        .select(
+            "bucket",
+            F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("shift"),
+            F.sum("size").over(everything).alias("total"),
+        )
     )
     inside = Window.partitionBy("bucket").orderBy("x")
-    upto = bucketed.withColumn("inside", F.sum("n").over(inside)).join(
-        F.broadcast(shifts), "bucket"  # at most VALUE_BUCKETS rows of two numbers
-    )
-    reached = F.col("shift") + F.col("inside")
-    return upto.agg(
-        *[
-            F.min(F.when(reached >= F.greatest(F.lit(1), F.ceil(F.lit(p) * span["total"])), F.col("x")))
-            .alias(name)
-            for name, p in probabilities.items()
-        ]
+    # shifts holds three numbers for each of a bounded number of buckets.
+    ranked = (
+        counts.withColumn("inside", F.sum("n").over(inside))
+        .join(F.broadcast(shifts), "bucket")
+        .select("x", "total", (F.col("shift") + F.col("inside")).alias("reached"))
     )
 
+    def smallest_reaching(p: float) -> Column:
+        rank = F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("total")))
+        return F.min(F.when(F.col("reached") >= rank, F.col("x")))
+
+    return ranked.agg(*[smallest_reaching(p).alias(n) for n, p in probabilities.items()])
 
-def cut(quantiles: DataFrame, name: str):
-    """One value of a quantile row, as a scalar subquery usable in any expression."""
-    return quantiles.select(name).scalar()
+
+def with_quantiles(
+    frame: DataFrame, column: str, probabilities: Mapping[str, float], name: str
+) -> DataFrame:
+    """Add the quantiles as a struct column: one scalar subquery, however often it is used."""
+    quantiles = exact_quantiles(frame, column, probabilities)
+    return frame.withColumn(name, quantiles.select(F.struct(*probabilities)).scalar())

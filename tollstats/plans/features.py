@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollstats.functions.scoring import label_between, label_from
-from tollstats.operators.quantiles import cut, exact_quantiles
+from tollstats.operators.quantiles import with_quantiles
 from tollstats.schema import Tables
 
 # Model inputs and quantile cuts.
@@ -32,15 +32,15 @@ def ml_base(tables: Tables) -> DataFrame:
 
 def label_median(base: DataFrame, column: str = TARGET, probability: float = 0.5) -> DataFrame:
     """Label 1.0 from the quantile upward, else 0.0."""
-    threshold = cut(exact_quantiles(base, column, {"cut": probability}), "cut")
-    return base.withColumn("label", label_from(F.col(column), threshold))
+    cuts = with_quantiles(base, column, {"cut": probability}, "_cuts")
+    return cuts.withColumn("label", label_from(F.col(column), F.col("_cuts.cut"))).drop("_cuts")
 
 
 def label_terciles(base: DataFrame, column: str = TARGET) -> DataFrame:
     """Labels 0.0, 1.0 and 2.0 by the two tercile cuts."""
-    quantiles = exact_quantiles(base, column, TERCILES)
-    cuts = [cut(quantiles, name) for name in TERCILES]
-    return base.withColumn("label", label_between(F.col(column), cuts))
+    cuts = with_quantiles(base, column, TERCILES, "_cuts")
+    bounds = [F.col(f"_cuts.{name}") for name in TERCILES]
+    return cuts.withColumn("label", label_between(F.col(column), bounds)).drop("_cuts")
 
 
 def label_distribution(labelled: DataFrame) -> DataFrame:

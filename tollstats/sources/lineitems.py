@@ -10,14 +10,25 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollstats.operators.joins import broadcast_if_small
 from tollstats.schema import FLUJO_NAMES, ID_COLUMN, MEASURE_COLUMNS, STATION_COLUMNS, Tables
 
-TARIFF_CUT = 0.05
-FIRST_YEAR = 1990
+# Counts are bigint: one busy station's month may add up billions of line items.
+VEHICLES = "cast(l_quantity as bigint)"
+LIGHT, HEAVY = "l_linenumber = 1", "l_linenumber > 1"
+DIFFERENTIAL, FULL_TARIFF = "l_discount > 0.05", "l_discount <= 0.05"
+COUNTED = {
+    "veh_ligeros_tar_dif": f"{LIGHT} and {DIFFERENTIAL}",
+    "veh_ligeros_automoviles": f"{LIGHT} and {FULL_TARIFF}",
+    "veh_ligeros_total": LIGHT,
+    "veh_pesados_tar_dif": f"{HEAVY} and {DIFFERENTIAL}",
+    **{f"veh_pesados_{n}e": f"l_linenumber = {n} and {FULL_TARIFF}" for n in range(2, 8)},
+    "veh_pesados_total": HEAVY,
+    "veh_total": "true",
+}
+DAYS = "cast(day(last_day(make_date(anio, mes, 1))) as double)"
 
 
 def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -25,74 +36,60 @@ def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def stations(spark: SparkSession, path: str) -> DataFrame:
-    """One row per supplier. Its size follows the supplier table, so joins are left to Catalyst."""
+    """One row per supplier.
+
+    Its size follows the supplier table, so joins with it carry no hint:
+    adaptive execution broadcasts it when its measured size is small and splits
+    busy stations when it is not.
+    """
     supplier = _read(spark, path, "supplier")
     nation = _read(spark, path, "nation")
     region = _read(spark, path, "region")
     return (
         supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
         .join(region, nation.n_regionkey == region.r_regionkey)
-        .select(
-            F.col("s_suppkey").alias("id_peaje"),
-            F.col("s_name").alias("nombre_peaje"),
-            F.col("n_name").alias("departamento"),
-            F.col("r_name").alias("administracion"),
+        .selectExpr(
+            "s_suppkey as id_peaje",
+            "s_name as nombre_peaje",
+            "n_name as departamento",
+            "r_name as administracion",
         )
     )
 
 
-def _vehicles(when: Column | None = None) -> Column:
-    quantity = F.col("l_quantity").cast("bigint")
-    return F.sum(quantity if when is None else F.when(when, quantity).otherwise(F.lit(0)))
-
-
 def traffic(spark: SparkSession, path: str, anio: int | None = None) -> DataFrame:
     """One row per station and month.
 
-    Counts are bigint: one busy station's month may add up billions of line
-    items. ``anio`` restricts the scan by ship date, which parquet can use to
-    skip row groups; a filter on the derived year could not reach it.
+    ``anio`` restricts the scan by ship date, which parquet can use to skip row
+    groups; a filter on the derived year could not reach it.
     """
     items = _read(spark, path, "lineitem")
-    shipped = F.col("l_shipdate")
     if anio is not None:
+        shipped = F.col("l_shipdate")
         items = items.where(
             (shipped >= F.lit(datetime(anio, 1, 1))) & (shipped < F.lit(datetime(anio + 1, 1, 1)))
         )
-    light, heavy = F.col("l_linenumber") == 1, F.col("l_linenumber") > 1
-    differential = F.col("l_discount") > TARIFF_CUT
-    full = F.col("l_discount") <= TARIFF_CUT
     monthly = items.groupBy(
-        F.col("l_suppkey").alias("id_peaje"),
-        F.year(shipped).alias("anio"),
-        F.month(shipped).alias("mes"),
+        F.expr("l_suppkey as id_peaje"),
+        F.expr("year(l_shipdate) as anio"),
+        F.expr("month(l_shipdate) as mes"),
     ).agg(
-        _vehicles(light & differential).alias("veh_ligeros_tar_dif"),
-        _vehicles(light & full).alias("veh_ligeros_automoviles"),
-        _vehicles(light).alias("veh_ligeros_total"),
-        _vehicles(heavy & differential).alias("veh_pesados_tar_dif"),
         *[
-            _vehicles((F.col("l_linenumber") == axles) & full).alias(f"veh_pesados_{axles}e")
-            for axles in range(2, 8)
-        ],
-        _vehicles(heavy).alias("veh_pesados_total"),
-        _vehicles().alias("veh_total"),
+            F.expr(f"sum(case when {condition} then {VEHICLES} else 0 end) as {name}")
+            for name, condition in COUNTED.items()
+        ]
     )
-    month_number = (F.col("anio") - FIRST_YEAR) * 12 + F.col("mes")
-    days = F.day(F.last_day(F.make_date("anio", "mes", F.lit(1)))).cast("double")
-    return monthly.withColumns(
-        {
-            "id_flujo": F.col("id_peaje") * 10000 + month_number,
-            "veh_ligeros_imd": F.col("veh_ligeros_total") / days,
-            "veh_pesados_imd": F.col("veh_pesados_total") / days,
-            "veh_imd": F.col("veh_total") / days,
-        }
-    ).select(*FLUJO_NAMES)
+    derived = {
+        "id_flujo": "id_peaje * 10000 + (anio - 1990) * 12 + mes as id_flujo",
+        "veh_ligeros_imd": f"veh_ligeros_total / {DAYS} as veh_ligeros_imd",
+        "veh_pesados_imd": f"veh_pesados_total / {DAYS} as veh_pesados_imd",
+        "veh_imd": f"veh_total / {DAYS} as veh_imd",
+    }
+    return monthly.selectExpr(*[derived.get(name, name) for name in FLUJO_NAMES])
 
 
 def traffic_tables(spark: SparkSession, path: str, anio: int | None = None) -> Tables:
-    """Both tables; the dimension is marked for broadcast when its measured size allows."""
-    return Tables(broadcast_if_small(stations(spark, path)), traffic(spark, path, anio))
+    return Tables(stations(spark, path), traffic(spark, path, anio))
 
 
 def raw_records(tables: Tables) -> DataFrame:
