@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tollstats.operators.evaluation import METRICS
+from tollstats.plans import features, models
+from tollstats.sources.lineitems import traffic_tables
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return traffic_tables(spark, "/root/testdata/sf0.01")
+
+
+def test_compare_binary(tables):
+    got = {r.modelo: r for r in models.compare_binary(tables).collect()}
+    assert set(got) == {models.LOGISTIC_NAME, models.PERCEPTRON_NAME}
+    assert got[models.LOGISTIC_NAME].accuracy > 0.9
+    assert got[models.LOGISTIC_NAME].loss < 0.3
+    for row in got.values():
+        assert 0 <= row.accuracy <= 1
+        assert row.recall == pytest.approx(row.accuracy)
+
+
+def test_scaled_perceptron_learns(tables):
+    frame = models.binary_features(tables, scale=True)
+    name = models.PERCEPTRON_NAME
+    scored = models.train_and_score(frame, {name: models.binary_models(frame)[name]})
+    assert scored.agg(F.avg((F.col("label") == F.col("prediction")).cast("int"))).first()[0] > 0.9
+
+
+def test_compare_multi(tables):
+    frame = models.tercile_features(tables)
+    scored = models.train_and_score(frame, models.tercile_models(frame)).cache()
+    sizes = {r.modelo: r["count"] for r in scored.groupBy("modelo").count().collect()}
+    assert set(sizes) == {models.TREE_NAME, models.FOREST_NAME, models.MULTINOMIAL_NAME}
+    assert set(sizes.values()) == {1672}
+    total = F.aggregate("probability", F.lit(0.0), lambda a, p: a + p)
+    assert scored.where(F.abs(total - 1) > 1e-9).count() == 0
+    assert scored.where("size(probability) <> 3 or prediction not in (0, 1, 2)").count() == 0
+    table = models.metrics_table(models.with_loss(scored, models.TERCILE_CLASSES))
+    assert table.columns == ["modelo", *METRICS]
+    assert all(r.accuracy > 0.9 for r in table.collect())
+    scored.unpersist()
+
+
+def test_vector_width_comes_from_metadata(tables):
+    base = features.ml_base(tables)
+    frame = features.feature_pipeline().fit(base).transform(base)
+    assert features.vector_width(frame) == frame.select("features").first().features.size == 34
+
+
+def test_unseen_and_missing_category(spark):
+    columns = "id_flujo bigint, anio double, mes double, veh_ligeros_imd double, veh_pesados_imd double, departamento string, administracion string"
+    seen = spark.createDataFrame([(i, 1.0, 1.0, 1.0, 1.0, "AB"[i % 2], "X") for i in range(5)], columns)
+    later = spark.createDataFrame([(9, 1.0, 1.0, 1.0, 1.0, "C", None)], columns)
+    row = features.feature_pipeline().fit(seen).transform(later).first()
+    assert (row.departamento_idx, row.administracion_idx) == (2.0, 1.0)
+    assert row.departamento_vec.toArray().tolist() == [0.0, 0.0]
+    assert row.administracion_vec.toArray().tolist() == [0.0]
+    assert row.features.size == 7
+
+
+def test_copies_of_a_record_stay_on_one_side(spark, tables):
+    labelled = features.label_median(features.ml_base(tables), probability=0.9)
+    grown = models.oversample(labelled, "label", 1.0, 0.0)
+    train, test = models.key_split(grown, ["id_flujo"])
+    assert train.join(test, "id_flujo", "left_semi").count() == 0
