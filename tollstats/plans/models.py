@@ -66,12 +66,26 @@ def multinomial() -> LogisticRegression:
     return LogisticRegression(maxIter=MULTINOMIAL_ITERATIONS, family="multinomial")
 
 
+def staged_base(tables: Tables) -> DataFrame:
+    """The feature table, joined once, spread evenly and kept in the shared folder.
+
+    Quantiles, class sizes and labels each read it again, from there and not
+    from the tables behind it.
+    """
+    base = ml_base(tables)
+    spark = base.sparkSession
+    ensure_checkpoint_dir(spark)
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(configured, spark.sparkContext.defaultParallelism)
+    return base.repartition(partitions).checkpoint()
+
+
 def feature_frame(labelled: DataFrame, scale: bool = False) -> DataFrame:
     """Features of a labelled frame.
 
-    The labelled rows are checkpointed to the shared folder: indexing, every
-    training pass and the scoring then read them there, and losing an executor
-    repeats none of the joins behind them.
+    The labelled rows are kept in the shared folder as well: indexing, every
+    training pass and the scoring start from them, and losing an executor
+    repeats neither joins nor quantiles.
     """
     ensure_checkpoint_dir(labelled.sparkSession)
     rows = labelled.checkpoint()
@@ -84,14 +98,14 @@ def binary_features(tables: Tables, scale: bool = False, balance: bool = True) -
     The median label leaves class 1 at least as large as class 0, so balancing
     repeats its rows once; it acts where a label is rarer.
     """
-    labelled = label_median(ml_base(tables))
+    labelled = label_median(staged_base(tables))
     if balance:
         labelled = oversample(labelled, "label", minority=1.0, majority=0.0)
     return feature_frame(labelled, scale)
 
 
 def tercile_features(tables: Tables, scale: bool = False) -> DataFrame:
-    return feature_frame(label_terciles(ml_base(tables)), scale)
+    return feature_frame(label_terciles(staged_base(tables)), scale)
 
 
 def binary_models(features: DataFrame) -> dict[str, Estimator]:

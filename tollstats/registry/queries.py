@@ -18,7 +18,7 @@ from tollstats.operators.quantiles import exact_quantiles
 from tollstats.operators.sampling import oversample, split_side
 from tollstats.operators.surrogate import assign_ids
 from tollstats.plans import features, ingest, models, reports, sqlreports
-from tollstats.schema import ID_COLUMN, MEASURE_COLUMNS, RAW_NAMES, STATION_KEY, Tables
+from tollstats.schema import FLUJO_SCHEMA, ID_COLUMN, MEASURE_COLUMNS, RAW_NAMES, STATION_KEY, Tables
 from tollstats.sources.csv_files import scan_csv, write_csv
 from tollstats.sources.lineitems import raw_records, traffic_tables
 from tollstats.sources.parquet_store import ParquetStore
@@ -85,6 +85,13 @@ def _half_loaded(tables: Tables) -> DataFrame:
     return tables.peaje.where(F.col("id_peaje") % 2 == 0)
 
 
+def _int_fact(tables: Tables) -> DataFrame:
+    """The fact under its declared schema."""
+    return tables.flujo_peaje.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in FLUJO_SCHEMA]
+    )
+
+
 def cast_trunc(spark: SparkSession, path: str) -> DataFrame:
     items = spark.read.parquet(f"{path}/lineitem.parquet")
     price = F.when(F.col("l_linenumber") % 2 == 0, -F.col("l_extendedprice")).otherwise(
@@ -153,9 +160,7 @@ def load_fact(spark: SparkSession, path: str) -> DataFrame:
     tables = traffic_tables(spark, path)
     store = ParquetStore(spark, staging_path(spark, "load-fact"))
     store.append_peaje(tables.peaje)
-    typed = ingest.fact_typed(raw_records(tables))
-    stored = ingest.fact_lookup(typed, tables.peaje).where(F.col("anio") < LOADED_BEFORE)
-    store.append_flujo(stored)
+    store.append_flujo(_int_fact(tables).where(F.col("anio") < LOADED_BEFORE))
     ingest.load_fact(store, raw_records(tables))
     return store.flujo_peaje()
 
@@ -163,9 +168,9 @@ def load_fact(spark: SparkSession, path: str) -> DataFrame:
 def parquet_append(spark: SparkSession, path: str) -> DataFrame:
     tables = traffic_tables(spark, path)
     store = ParquetStore(spark, staging_path(spark, "append"))
-    typed = ingest.fact_lookup(ingest.fact_typed(raw_records(tables)), tables.peaje)
-    store.append_flujo(typed.where(F.col("anio") < LOADED_BEFORE))
-    store.append_flujo(typed.where(F.col("anio") >= LOADED_BEFORE))
+    fact = _int_fact(tables)
+    store.append_flujo(fact.where(F.col("anio") < LOADED_BEFORE))
+    store.append_flujo(fact.where(F.col("anio") >= LOADED_BEFORE))
     return store.flujo_peaje()
 
 

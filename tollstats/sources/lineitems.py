@@ -12,6 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tollstats.schema import FLUJO_NAMES, ID_COLUMN, MEASURE_COLUMNS, STATION_COLUMNS, Tables
 
@@ -31,8 +32,15 @@ COUNTED = {
 DAYS = "cast(day(last_day(make_date(anio, mes, 1))) as double)"
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{name}.parquet")
+    """A given table; its schema is looked up in the files once per process."""
+    file = f"{path}/{name}.parquet"
+    if file not in _schemas:
+        _schemas[file] = spark.read.parquet(file).schema
+    return spark.read.schema(_schemas[file]).parquet(file)
 
 
 def stations(spark: SparkSession, path: str) -> DataFrame:
