@@ -7,7 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tollstats.operators.joins import broadcast_if_small, measured_bytes
-from tollstats.sources import jdbc, staging
+from tollstats.operators.surrogate import assign_ids
+from tollstats.plans import ingest
+from tollstats.schema import FLUJO_NAMES, FLUJO_SCHEMA, PEAJE_SCHEMA, STATION_KEY
+from tollstats.sources import jdbc, jdbc_store, staging
+from tollstats.sources.lineitems import raw_records, traffic_tables
 from tollstats.sources.tables import jdbc_tables, stored_tables
 
 SETTINGS = jdbc.JdbcSettings("jdbc:postgresql://host/db", "reader", "secret")
@@ -61,12 +65,45 @@ def test_append():
 
 
 def test_jdbc_dimension_is_measured_before_it_is_broadcast(spark):
-    session = fake_session(spark.createDataFrame([(1, "a")], "ID_PEAJE bigint, NOMBRE_PEAJE string"))
+    upper = [c.upper() for c in [*FLUJO_NAMES, *STATION_KEY]]
+    session = fake_session(spark.range(1).select(*[F.lit("1").alias(c) for c in upper]))
     tables = jdbc_tables(session, SETTINGS, jdbc.year_predicates([2020]))
+    assert tables.flujo_peaje.columns == FLUJO_NAMES
     assert "ResolvedHint (strategy=broadcast)" in plan(tables.peaje)
     assert "ResolvedHint" not in plan(tables.flujo_peaje)
 
 
+@pytest.mark.parametrize("assigns_ids", [True, False])
+def test_load_into_a_database(spark, small, tmp_path, monkeypatch, assigns_ids):
+    """The load against a stand-in for the database: parquet folders behind scan and append."""
+    schemas = {"peaje": PEAJE_SCHEMA, "flujo_peaje": FLUJO_SCHEMA}
+    written = []
+
+    def scan(session, settings, table, split=None):
+        folder = tmp_path / table
+        if not folder.exists():
+            return spark.createDataFrame([], schemas[table])
+        return spark.read.schema(schemas[table]).parquet(str(folder))
+
+    def append(frame, settings, table, connections=None):
+        written.append((table, frame.columns))
+        if "id_peaje" not in frame.columns:
+            frame = assign_ids(frame, STATION_KEY, "id_peaje", after=100 * len(written))
+        frame.write.mode("append").parquet(str(tmp_path / table))
+
+    monkeypatch.setattr(jdbc_store, "scan_jdbc", scan)
+    monkeypatch.setattr(jdbc_store, "append_jdbc", append)
+    raw = raw_records(traffic_tables(spark, small))
+    store = jdbc_store.JdbcStore(spark, SETTINGS, assigns_ids=assigns_ids)
+    ingest.load(store, raw)
+    ingest.load(store, raw)
+    expected = STATION_KEY if assigns_ids else PEAJE_SCHEMA.names
+    assert written == [("peaje", expected), ("flujo_peaje", FLUJO_NAMES)] * 2
+    tables = store.tables()
+    assert (tables.peaje.count(), tables.flujo_peaje.count()) == (10, 826)
+    assert tables.flujo_peaje.join(tables.peaje, "id_peaje").count() == 826
+
+
 def plan(frame):
     return frame._jdf.queryExecution().analyzed().toString()
 
@@ -87,7 +124,8 @@ def test_empty_store_has_the_schemas(spark, tmp_path):
 
 
 def test_shared_folder_is_the_configured_one(spark):
-    assert staging.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert staging.shared_dir(spark) == (configured or spark.sparkContext.getCheckpointDir())
     first, second = staging.staging_path(spark, "x"), staging.staging_path(spark, "x")
     assert first != second and first.startswith(staging.shared_dir(spark))
 

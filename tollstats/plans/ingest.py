@@ -7,6 +7,8 @@ stored one.
 
 from __future__ import annotations
 
+from typing import Protocol
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,17 @@ from tollstats.functions.casts import CASTS
 from tollstats.operators.dedup import dedup_key
 from tollstats.operators.surrogate import ID_BUCKETS, assign_ids
 from tollstats.schema import FLUJO_NAMES, ID_COLUMN, MEASURE_COLUMNS, STATION_COLUMNS, STATION_KEY
-from tollstats.sources.parquet_store import ParquetStore
+
+
+class Store(Protocol):
+    """Where the two tables are kept: a parquet store or a database."""
+
+    assigns_ids: bool
+
+    def peaje(self) -> DataFrame: ...
+    def flujo_peaje(self) -> DataFrame: ...
+    def append_peaje(self, rows: DataFrame) -> None: ...
+    def append_flujo(self, rows: DataFrame) -> None: ...
 
 
 def _same_key(left: DataFrame, right: DataFrame, null_safe: bool) -> list[Column]:
@@ -74,19 +86,19 @@ def fact_new(fact: DataFrame, existing: DataFrame) -> DataFrame:
     return fact.join(stored, fact["id_flujo"].eqNullSafe(stored["id_flujo"]), "left_anti")
 
 
-def load_dim(store: ParquetStore, raw: DataFrame, buckets: int = ID_BUCKETS) -> None:
-    """Append the stations the store lacks."""
+def load_dim(store: Store, raw: DataFrame, buckets: int = ID_BUCKETS) -> None:
+    """Append the stations the store lacks, numbered unless the store does that."""
     existing = store.peaje()
     new = dim_new(dim_extract(raw), existing)
-    store.append_peaje(number_stations(new, existing, buckets))
+    store.append_peaje(new if store.assigns_ids else number_stations(new, existing, buckets))
 
 
-def load_fact(store: ParquetStore, raw: DataFrame) -> None:
+def load_fact(store: Store, raw: DataFrame) -> None:
     """Append the records the store lacks, one per id."""
     fact = dedup_key(fact_lookup(fact_typed(raw), store.peaje()), ID_COLUMN.name)
     store.append_flujo(fact_new(fact, store.flujo_peaje()))
 
 
-def load(store: ParquetStore, raw: DataFrame) -> None:
+def load(store: Store, raw: DataFrame) -> None:
     load_dim(store, raw)
     load_fact(store, raw)

@@ -190,7 +190,7 @@ ORDER BY veh_total DESC NULLS LAST, mes NULLS FIRST, nombre_peaje NULLS FIRST,
 
 _Q12 = f"""SELECT anio, departamento, round(avg(veh_total), 6) AS promedio_veh_total
 FROM juntos WHERE anio = {Q12_YEAR} GROUP BY anio, departamento
-ORDER BY promedio_veh_total DESC NULLS LAST, anio NULLS FIRST, departamento NULLS FIRST"""
+ORDER BY avg(veh_total) DESC NULLS LAST, anio NULLS FIRST, departamento NULLS FIRST"""
 
 _PIVOT_COLUMNS = ", ".join(
     f"""count(DISTINCT CASE WHEN administracion = '{r}' THEN id_peaje END) AS "{r}\"""" for r in REGIONS
@@ -254,7 +254,7 @@ UNION ALL {_numbered(_NEW, "(SELECT max(id_peaje) FROM peaje WHERE id_peaje % 2
   SELECT *, row_number() OVER (PARTITION BY id_flujo ORDER BY mes, veh_total, veh_imd) AS r FROM (
     SELECT id_peaje * 10000 + anio AS id_flujo, mes, veh_total, veh_imd FROM flujo_peaje) y) z
 WHERE r = 1""",
-    "join_using": f"SELECT {', '.join(FLUJO_NAMES)}, {_STATION} FROM juntos",
+    "join_using": f"SELECT id_peaje, * EXCLUDE (id_peaje) FROM juntos",
     "fillna_numeric": """SELECT id_flujo, coalesce(nullif(veh_ligeros_total, 0), 0) AS veh_ligeros_total,
        coalesce(nullif(veh_imd, 1.0), 0) AS veh_imd, nullif(departamento, 'NATION_3') AS departamento
 FROM juntos""",

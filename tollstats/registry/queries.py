@@ -245,7 +245,8 @@ def one_hot(tables: Tables) -> DataFrame:
         features.vector_entries(encoded, "id_flujo", f"{c}_vec").withColumn("category", F.lit(c))
         for c in features.CATEGORIES
     )
-    return department.unionByName(administration)
+    both = department.unionByName(administration)
+    return both.select("id_flujo", "category", "position", "value")
 
 
 def feature_entries(tables: Tables) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +29,11 @@ def append_parquet(frame: DataFrame, path: str, partition_by: str | None = None)
 
 @dataclass(frozen=True)
 class ParquetStore:
+    """Both tables under ``root``; the fact is partitioned by year."""
+
     spark: SparkSession
     root: str
+    assigns_ids: ClassVar[bool] = False
 
     def _read(self, name: str, schema: StructType) -> DataFrame:
         try:

@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from tollstats.operators.joins import broadcast_if_small
 from tollstats.schema import Tables
-from tollstats.sources.jdbc import JdbcRange, JdbcSettings, scan_jdbc
+from tollstats.sources.jdbc import JdbcRange, JdbcSettings
+from tollstats.sources.jdbc_store import JdbcStore
 from tollstats.sources.parquet_store import ParquetStore
 
 
@@ -21,13 +21,9 @@ def jdbc_tables(
     spark: SparkSession,
     settings: JdbcSettings,
     flujo_split: JdbcRange | Sequence[str] | None = None,
-    peaje_table: str = "peaje",
-    flujo_table: str = "flujo_peaje",
 ) -> Tables:
-    """Tables of a database; the size of the dimension is measured, as JDBC reports none."""
-    peaje = scan_jdbc(spark, settings, peaje_table)
-    flujo = scan_jdbc(spark, settings, flujo_table, flujo_split)
-    return Tables(broadcast_if_small(peaje), flujo)
+    """Tables of a database."""
+    return JdbcStore(spark, settings, flujo_split).tables()
 
 
 def register_views(
