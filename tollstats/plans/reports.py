@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tollstats.operators.ordering import ordered
 from tollstats.schema import Tables
+from tollstats.sources.staging import ensure_checkpoint_dir
 
 
 def station_columns(tables: Tables) -> DataFrame:
@@ -70,13 +71,18 @@ def stations_per_year_wide(
 ) -> DataFrame:
     """q4: one row per year, one column per administration, 0 where there is none.
 
-    The administrations found in the data become columns, at the cost of one
-    more job, unless the caller lists them. Stations without one count under
-    ``null_label``; the year itself is never filled.
+    The administrations found in the data become columns. To find them without
+    computing the counts twice, the long form (years times administrations) is
+    checkpointed first. A caller who lists them saves that step and gets the
+    listed ones only. Stations without one count under ``null_label``; the year
+    itself is never filled.
     """
     long = stations_per_year(tables).withColumn(
         "administracion", F.coalesce("administracion", F.lit(null_label))
     )
+    if not administrations:
+        ensure_checkpoint_dir(long.sparkSession)
+        long = long.checkpoint()
     by_year = long.groupBy("anio")
     pivoted = (
         by_year.pivot("administracion", list(administrations))

@@ -15,7 +15,6 @@ from tollstats.registry.queries import (
     Q11_YEAR,
     Q12_YEAR,
     RARE_QUANTILE,
-    REGIONS,
     RULE,
     RULE_PROBABILITIES,
     TERCILE_RULE,
@@ -192,6 +191,9 @@ _Q12 = f"""SELECT anio, departamento, round(avg(veh_total), 6) AS promedio_veh_t
 FROM juntos WHERE anio = {Q12_YEAR} GROUP BY anio, departamento
 ORDER BY avg(veh_total) DESC NULLS LAST, anio NULLS FIRST, departamento NULLS FIRST"""
 
+# The administrations of the given tables.
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
 _PIVOT_COLUMNS = ", ".join(
     f"""count(DISTINCT CASE WHEN administracion = '{r}' THEN id_peaje END) AS "{r}\"""" for r in REGIONS
 )

@@ -33,7 +33,6 @@ Q3_YEAR, Q8_YEAR, Q11_YEAR, Q12_YEAR = 1998, 1999, 1998, 1997
 LOADED_BEFORE = 1998
 RARE_QUANTILE = 0.9
 HEAVY_CUT = 0.85
-REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 RULE, TERCILE_RULE = "regla", "regla de terciles"
 # Class probabilities of the three-class rule, by tercile of light traffic.
 RULE_PROBABILITIES = [[0.6, 0.3, 0.1], [0.2, 0.5, 0.3], [0.1, 0.2, 0.7]]
@@ -387,7 +386,7 @@ QUERIES: dict[str, Query] = {
     "q1_flujo": _report(reports.traffic_columns),
     "q2": _report(reports.busy_months, Q2_MORE_THAN, anio=Q2_YEAR),
     "q3": _report(reports.busiest_stations, anio=Q3_YEAR),
-    "q4": _report(reports.stations_per_year_wide, REGIONS),
+    "q4": _report(reports.stations_per_year_wide),
     "q4_long": _report(reports.stations_per_year),
     "q5": q5,
     "q6": _report(reports.monthly_traffic),
