@@ -2,6 +2,34 @@
 
 from __future__ import annotations
 
+OP2 = r"""
+WITH clean AS (
+  SELECT conv_id, coalesce(turn, 9223372036854775807) AS turn,
+         replace(coalesce(role, 'unknown'), '<|', '< |') AS speaker,
+         replace(coalesce(text, ''), '<|', '< |') AS body
+  FROM conversations),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM clean WHERE speaker <> 'system'),
+rotated AS (
+  SELECT c.*, p.perspective, turn // 64 AS part_turn,
+         '<|im_start|>' || CASE WHEN speaker = 'system' THEN 'system'
+                                WHEN speaker = perspective THEN 'assistant'
+                                ELSE 'user name=' || translate(speaker, chr(13) || chr(10), '  ') END || chr(10) AS head,
+         body || '<|im_end|>' || chr(10) AS tail
+  FROM clean c LEFT JOIN people p ON c.conv_id IS NOT DISTINCT FROM p.conv_id),
+placed AS (
+  SELECT *, length(head) + coalesce(sum(length(head) + length(tail)) OVER (
+              PARTITION BY conv_id, perspective, part_turn ORDER BY turn, speaker, body
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS opens,
+         dense_rank() OVER (PARTITION BY conv_id, perspective ORDER BY part_turn) - 1 AS part
+  FROM rotated)
+SELECT conv_id, perspective, part, count(*) AS n_turns,
+       string_agg(head || tail, '' ORDER BY turn, speaker, body) AS text,
+       coalesce(string_agg(cast(opens AS bigint) || '-' || cast(opens + length(tail) - 1 AS bigint), ',' ORDER BY opens)
+                FILTER (WHERE speaker = perspective), '') AS trained,
+       cast(coalesce(sum(length(tail) - 1) FILTER (WHERE speaker = perspective), 0) AS bigint) AS trained_chars
+FROM placed GROUP BY conv_id, perspective, part
+"""
+
 # Words by the same pattern; the order of draw is 60 bits of the same MD5.
 OP9 = r"""
 WITH sized AS (
@@ -39,4 +67,4 @@ SELECT doc_id, cast(size AS bigint) AS size, source_size, target,
 FROM drawn
 """
 
-ORACLE: dict[str, str] = {"op9_mixing": OP9}
+ORACLE: dict[str, str] = {"op2_perspectives": OP2, "op9_mixing": OP9}

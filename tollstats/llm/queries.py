@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tollstats.llm.mixing import mix_sources
+from tollstats.llm.perspectives import rotate_perspectives
+from tollstats.llm.quality import score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,8 +17,21 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 
+def op2_perspectives(spark: SparkSession, path: str) -> DataFrame:
+    return rotate_perspectives(table(spark, path, "conversations"))
+
+
+def op3_quality(spark: SparkSession, path: str) -> DataFrame:
+    scored = score_quality(table(spark, path, "documents"), table(spark, path, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_mixing(spark: SparkSession, path: str) -> DataFrame:
     return mix_sources(table(spark, path, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op9_mixing": op9_mixing}
+QUERIES: dict[str, Query] = {
+    "op2_perspectives": op2_perspectives,
+    "op3_quality": op3_quality,
+    "op9_mixing": op9_mixing,
+}
