@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tollstats.llm.fingerprints import neighbour_fingerprints
 from tollstats.llm.mixing import mix_sources
 from tollstats.llm.perspectives import rotate_perspectives
 from tollstats.llm.quality import score_quality
@@ -26,6 +27,10 @@ def op3_quality(spark: SparkSession, path: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_fingerprints(spark: SparkSession, path: str) -> DataFrame:
+    return neighbour_fingerprints(table(spark, path, "documents"))
+
+
 def op9_mixing(spark: SparkSession, path: str) -> DataFrame:
     return mix_sources(table(spark, path, "documents"))
 
@@ -33,5 +38,6 @@ def op9_mixing(spark: SparkSession, path: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_perspectives": op2_perspectives,
     "op3_quality": op3_quality,
+    "op7_fingerprints": op7_fingerprints,
     "op9_mixing": op9_mixing,
 }

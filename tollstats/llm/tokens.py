@@ -81,6 +81,20 @@ def word_hashes(text: str | bytes | None) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
 
 
+def line_words(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and line number (from 0) of every word."""
+    hashes, lines, passed = [], [], 0
+    for block in _blocks(np.frombuffer((text or "").encode(), dtype=np.uint8)):
+        starts, ends = word_bounds(block)
+        feeds = np.cumsum(block == 0x0A)
+        hashes.append(slice_hashes(prefix_hashes(block), starts, ends))
+        lines.append(feeds[starts] + passed)
+        passed += int(feeds[-1])
+    if not hashes:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    return np.concatenate(hashes), np.concatenate(lines)
+
+
 def shingle_hashes(words: np.ndarray, k: int = SHINGLE_WORDS) -> np.ndarray:
     """One hash per run of ``k`` words; a shorter text is one shingle, an empty one has none."""
     k = min(k, len(words))
