@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tollstats.llm.fingerprints import neighbour_fingerprints
 from tollstats.llm.mixing import mix_sources
+from tollstats.llm.neardup import near_duplicates
 from tollstats.llm.perspectives import rotate_perspectives
 from tollstats.llm.quality import score_quality
 
@@ -31,6 +32,10 @@ def op7_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     return neighbour_fingerprints(table(spark, path, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, path: str) -> DataFrame:
+    return near_duplicates(table(spark, path, "documents"))
+
+
 def op9_mixing(spark: SparkSession, path: str) -> DataFrame:
     return mix_sources(table(spark, path, "documents"))
 
@@ -39,5 +44,6 @@ QUERIES: dict[str, Query] = {
     "op2_perspectives": op2_perspectives,
     "op3_quality": op3_quality,
     "op7_fingerprints": op7_fingerprints,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_mixing": op9_mixing,
 }
