@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tollstats.llm.chunks import deduplicate_substrings
 from tollstats.llm.fingerprints import neighbour_fingerprints
 from tollstats.llm.mixing import mix_sources
 from tollstats.llm.neardup import near_duplicates
@@ -28,6 +29,11 @@ def op3_quality(spark: SparkSession, path: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_substrings(spark: SparkSession, path: str) -> DataFrame:
+    edited = deduplicate_substrings(table(spark, path, "documents"))
+    return edited.select("doc_id", "chunks", "repeated", "removed", "text")
+
+
 def op7_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     return neighbour_fingerprints(table(spark, path, "documents"))
 
@@ -43,6 +49,7 @@ def op9_mixing(spark: SparkSession, path: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_perspectives": op2_perspectives,
     "op3_quality": op3_quality,
+    "op6_substrings": op6_substrings,
     "op7_fingerprints": op7_fingerprints,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_mixing": op9_mixing,

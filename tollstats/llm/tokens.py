@@ -43,10 +43,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """Running polynomial sums c, such that any slice's hash is (c[e] - c[s]) * INVERSE^s."""
+def prefix_hashes(data: np.ndarray, values: np.ndarray = np.arange(1, 257, dtype=np.uint64)) -> np.ndarray:
+    """Running polynomial sums c, such that any slice's hash is (c[e] - c[s]) * INVERSE^s.
+
+    ``values`` gives the number that each byte stands for.
+    """
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data))[: len(data)], out=sums[1:])
+    np.cumsum(values[data] * powers(BASE, len(data))[: len(data)], out=sums[1:])
     return sums
 
 
