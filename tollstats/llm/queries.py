@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tollstats.llm.chunks import deduplicate_substrings
 from tollstats.llm.fingerprints import neighbour_fingerprints
 from tollstats.llm.mixing import mix_sources
 from tollstats.llm.neardup import near_duplicates
+from tollstats.llm.packing import pack_documents
 from tollstats.llm.perspectives import rotate_perspectives
 from tollstats.llm.quality import score_quality
+from tollstats.llm.shards import assign_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +23,18 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 
+def op1_shards(spark: SparkSession, path: str) -> DataFrame:
+    return assign_shards(table(spark, path, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op2_perspectives(spark: SparkSession, path: str) -> DataFrame:
     return rotate_perspectives(table(spark, path, "conversations"))
 
@@ -29,6 +44,10 @@ def op3_quality(spark: SparkSession, path: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_packing(spark: SparkSession, path: str) -> DataFrame:
+    return pack_documents(table(spark, path, "documents"))
+
+
 def op6_substrings(spark: SparkSession, path: str) -> DataFrame:
     edited = deduplicate_substrings(table(spark, path, "documents"))
     return edited.select("doc_id", "chunks", "repeated", "removed", "text")
@@ -47,8 +66,10 @@ def op9_mixing(spark: SparkSession, path: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_shards": op1_shards,
     "op2_perspectives": op2_perspectives,
     "op3_quality": op3_quality,
+    "op5_packing": op5_packing,
     "op6_substrings": op6_substrings,
     "op7_fingerprints": op7_fingerprints,
     "op8_near_duplicates": op8_near_duplicates,
