@@ -11,11 +11,14 @@ from tollstats.llm.chunks import deduplicate_substrings
 from tollstats.llm.fingerprints import neighbour_fingerprints
 from tollstats.llm.mixing import mix_sources
 from tollstats.llm.neardup import near_duplicates
+from tollstats.llm.neighbours import nearest_neighbours
 from tollstats.llm.packing import pack_documents
 from tollstats.llm.perspectives import rotate_perspectives
 from tollstats.llm.quality import score_quality
 from tollstats.llm.shards import assign_shards
 
+ANN_QUERIES = 20  # every row whose id this divides
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -65,6 +68,10 @@ def op9_mixing(spark: SparkSession, path: str) -> DataFrame:
     return mix_sources(table(spark, path, "documents"))
 
 
+def op10_neighbours(spark: SparkSession, path: str) -> DataFrame:
+    return nearest_neighbours(table(spark, path, "embeddings"), F.col("vec_id") % ANN_QUERIES == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_shards": op1_shards,
     "op2_perspectives": op2_perspectives,
@@ -74,4 +81,5 @@ QUERIES: dict[str, Query] = {
     "op7_fingerprints": op7_fingerprints,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_mixing": op9_mixing,
+    "op10_neighbours": op10_neighbours,
 }
