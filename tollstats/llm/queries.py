@@ -16,6 +16,7 @@ from tollstats.llm.packing import pack_documents
 from tollstats.llm.perspectives import rotate_perspectives
 from tollstats.llm.quality import score_quality
 from tollstats.llm.shards import assign_shards
+from tollstats.llm.warc import archived_pages
 
 ANN_QUERIES = 20  # every row whose id this divides
 
@@ -47,6 +48,10 @@ def op3_quality(spark: SparkSession, path: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op4_warc(spark: SparkSession, path: str) -> DataFrame:
+    return archived_pages(table(spark, path, "pages")).drop("payload")
+
+
 def op5_packing(spark: SparkSession, path: str) -> DataFrame:
     return pack_documents(table(spark, path, "documents"))
 
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op1_shards": op1_shards,
     "op2_perspectives": op2_perspectives,
     "op3_quality": op3_quality,
+    "op4_warc": op4_warc,
     "op5_packing": op5_packing,
     "op6_substrings": op6_substrings,
     "op7_fingerprints": op7_fingerprints,
