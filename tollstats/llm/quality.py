@@ -200,3 +200,11 @@ def score_quality(
         "score", score_column(documents.sparkSession, model, F.col("text"))
     )
     return scored.withColumn("predicted", F.when(F.col("score") >= cut, 1).otherwise(0))
+
+
+def accepted_documents(
+    documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, cut: float = CUT
+) -> DataFrame:
+    """The documents that ``score_quality`` would predict as 1, with their own columns."""
+    model = fit_quality(documents, labels, rows)
+    return documents.where(score_column(documents.sparkSession, model, F.col("text")) >= cut)

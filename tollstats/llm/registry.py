@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tollstats.llm.oracle import ORACLE
-from tollstats.llm.queries import QUERIES
+import corpus_pipeline
+from tollstats.llm import oracle, queries
 
-__all__ = ["ORACLE", "QUERIES"]
+QUERIES = queries.QUERIES | {"pipeline": corpus_pipeline.run}
+ORACLE = oracle.ORACLE
