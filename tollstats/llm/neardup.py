@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollstats.llm.components import connected_components
@@ -26,6 +26,8 @@ from tollstats.operators.joins import broadcast_if_small
 SIMILARITY = 0.8
 # Buckets up to this size are compared pair by pair, larger ones through hubs first.
 SMALL_BUCKET = 8
+# Rows of the two blocks that meet in one task.
+ASK_BLOCK, OTHER_BLOCK = 512, 2048
 # Candidates are compared exactly if this share of short signatures agrees; at a
 # similarity of 0.8 fewer agree with a probability below 1e-8.
 LIKELY = 0.6
@@ -33,17 +35,26 @@ LIKELY = 0.6
 
 def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        keys, bands, short = [], [], []
+        keys, bands, short, widths = [], [], [], []
         for text in batch["text"]:
             raw = (text or "").encode()
             shingles = shingle_hashes(word_hashes(raw), SHINGLE_WORDS)
             elements, weights = np.unique(shingles, return_counts=True)
             kept = signature(elements, weights.astype(np.float64))
             keys.append(hashlib.md5(raw).digest())
+            widths.append(len(elements))
             bands.append(None if kept is None else band_hashes(kept))
             short.append(None if kept is None else short_signature(kept))
         ids = batch["doc_id"].astype("Int64")
-        yield pd.DataFrame({"doc_id": ids, "key": keys, "bands": bands, "short": short})
+        yield pd.DataFrame({"doc_id": ids, "key": keys, "bands": bands, "short": short, "width": widths})
+
+
+def _shingle_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The distinct shingles of each node."""
+    for batch in batches:
+        for node, text in zip(batch["node"], batch["text"]):
+            found = np.unique(shingle_hashes(word_hashes(text), SHINGLE_WORDS))
+            yield pd.DataFrame({"shingle": found.view(np.int64), "node": np.full(len(found), node)})
 
 
 def _likely(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -108,25 +119,102 @@ def _first_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-def _rest_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of larger buckets that the links found so far leave in different components.
+def _texts(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, key, text) of the documents that stand for the given nodes (node)."""
+    wanted = broadcast_if_small(checkpointed(nodes.select(F.col("node").alias("doc_id"))))
+    return (
+        texts.select("doc_id", "text")
+        .join(wanted, "doc_id", "left_semi")
+        .select(F.col("doc_id").alias("node"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key"), "text")
+    )
+
+
+def _compare_blocks(asks: pd.DataFrame, others: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """Links between the rows of two blocks that are in different components.
+
+    The shingles of one block form an inverted list; each row of the other
+    counts its common shingles with all of them at once.
+    """
+    links = []
+    if len(asks) and len(others):
+        sets = [np.unique(shingle_hashes(word_hashes(t), SHINGLE_WORDS)) for t in others["text"]]
+        widths = np.array([len(s) for s in sets])
+        values, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), widths)
+        order = np.argsort(values, kind="stable")
+        values, owners = values[order], owners[order]
+        nodes, own = others["node"].to_numpy(), others["own"].to_numpy()
+        for node, component, text in zip(asks["node"], asks["own"], asks["text"]):
+            mine = np.unique(shingle_hashes(word_hashes(text), SHINGLE_WORDS))
+            start, stop = np.searchsorted(values, mine), np.searchsorted(values, mine, side="right")
+            runs = stop - start
+            places = np.arange(runs.sum()) + np.repeat(start - (np.cumsum(runs) - runs), runs)
+            shared = np.bincount(owners[places], minlength=len(sets))
+            alike = (shared >= similarity * (len(mine) + widths - shared)) & (own != component)
+            links.extend((min(node, n), max(node, n)) for n in nodes[alike])
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def _rest_links(
+    members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float
+) -> DataFrame:
+    """Links between members of larger buckets that hubs left in different components.
 
-    Whoever is not in the hub's component meets every member outside its own.
+    Whoever is not in its hub's component is compared with all members of that
+    hub's buckets, block against block; only links leave the tasks. Left out
+    are texts that cannot have a link: of n shingles, as many as the
+    similarity's share must occur in any other text at all, which is not so for
+    copies with many changes.
     """
     of = labels.select("node", F.col("component").alias("own"))
     placed = (
         members.where(F.col("size") > SMALL_BUCKET)
+        .select("hub", "node")
+        .distinct()
         .join(of, "node", "left")
         .withColumn("own", F.coalesce("own", "node"))
     )
     of_hub = labels.select(F.col("node").alias("hub"), F.col("component").alias("hubs"))
-    placed = placed.join(of_hub, "hub", "left").withColumn("hubs", F.coalesce("hubs", "hub"))
-    placed = checkpointed(placed.select("band", "node", "own", "hubs"))
-    outside = placed.where(F.col("own") != F.col("hubs")).select(
-        "band", F.col("node").alias("other"), F.col("own").alias("others")
+    placed = placed.join(of_hub, "hub", "left").withColumn("apart", F.col("own") != F.coalesce("hubs", "hub"))
+    placed = checkpointed(placed.select("hub", "node", "own", "apart"))
+    opened = checkpointed(placed.join(placed.where("apart").select("hub").distinct(), "hub", "left_semi"))
+
+    kept = nodes.select("node", "key", "width")
+    wanted = _texts(opened.select("node").distinct(), texts).join(kept, ["node", "key"])
+    wanted = staged(wanted.select("node", "width", "text").dropDuplicates(["node"]), "texts")
+    shingles = wanted.mapInPandas(_shingle_rows, "shingle long, node long")
+    common = shingles.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    of_node = shingles.join(common, "shingle", "left_semi").groupBy("node").agg(F.count("*").alias("common"))
+    able = (
+        wanted.join(of_node, "node")
+        .where(F.col("common") >= similarity * F.col("width"))
+        .select("node", "text")
+    )
+    able = checkpointed(opened.join(able.select("node"), "node"))
+    blocks = able.groupBy("hub").agg(
+        F.ceil(F.count_if("apart") / ASK_BLOCK).cast("int").alias("asks"),
+        F.ceil(F.count("*") / OTHER_BLOCK).cast("int").alias("others"),
+    )
+    dealt = able.join(blocks.where(F.col("asks") > 0), "hub").join(wanted.select("node", "text"), "node")
+
+    def numbered(n: str, salt: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(salt), "node"), F.col(n)).cast("int")
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    keys = ["hub", "ask_block", "other_block"]
+    asks = dealt.where("apart").select(
+        "hub", numbered("asks", 1).alias("ask_block"), every("others").alias("other_block"), "node", "own", "text"
+    )
+    others = dealt.select(
+        "hub", every("asks").alias("ask_block"), numbered("others", 2).alias("other_block"), "node", "own", "text"
+    ).toDF(*keys, "node", "own", "text")  # columns of its own, apart from those of asks
+    found = (
+        asks.groupBy(*keys)
+        .cogroup(others.groupBy(*keys))
+        .applyInPandas(lambda x, y: _compare_blocks(x, y, similarity), "a long, b long")
     )
-    met = placed.join(outside, "band").where(F.col("own") != F.col("others"))
-    return _pairs(met, "node", "other").distinct()
+    return checkpointed(found.distinct())
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -141,13 +229,8 @@ def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: flo
         .where(alike("short_a", "short_b"))
         .select("a", "b", "key_a", "key_b")
     )
-    needed = (
-        likely.select(F.explode(F.array("a", "b")).alias("node")).distinct().select(F.col("node").alias("doc_id"))
-    )
-    wanted = texts.select("doc_id", "text").join(broadcast_if_small(checkpointed(needed)), "doc_id", "left_semi")
-    wanted = wanted.select(
-        F.col("doc_id").alias("node"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key"), "text"
-    )
+    needed = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = _texts(needed, texts)
     first = wanted.select(F.col("node").alias("a"), F.col("key").alias("key_a"), F.col("text").alias("text_a"))
     second = wanted.select(F.col("node").alias("b"), F.col("key").alias("key_b"), F.col("text").alias("text_b"))
     return checkpointed(
@@ -170,13 +253,13 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
 
     Bands are cut so that two texts of similarity 0.8 become candidates with a
     probability of 0.9993. Buckets of candidates are first compared with hubs;
-    what this leaves in different components is then compared member by member,
+    what this leaves in different components is then compared block by block,
     so hubs save work and lose nothing.
     """
     ship_package(documents.sparkSession)
     sketches = staged(
         documents.select("doc_id", "text").mapInPandas(
-            _signatures, "doc_id long, key binary, bands array<long>, short binary"
+            _signatures, "doc_id long, key binary, bands array<long>, short binary, width int"
         ),
         "sketches",
     )
@@ -191,7 +274,7 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
     members = _members(nodes)
     links = _links(_first_pairs(members), nodes, documents, similarity)
     labels = connected_components(links)
-    more = _links(_rest_pairs(members, labels), nodes, documents, similarity)
+    more = _rest_links(members, labels, nodes, documents, similarity)
     if not more.isEmpty():
         labels = connected_components(links.unionByName(more))
     named = classes.join(labels.withColumnRenamed("node", "equal_id"), "equal_id", "left").select(
