@@ -92,14 +92,47 @@ def test_load_twice_adds_nothing(spark, small, tmp_path):
 
 def test_later_load_continues_the_ids(spark, tmp_path):
     store = ParquetStore(spark, str(tmp_path / "store"))
-    ingest.load(store, frames.raw(spark, record("1"), record(None, "Sur", None)))
-    ingest.load(store, frames.raw(spark, record("1"), record(None, "Sur", None), record("2", "Este")))
+    ingest.load(store, frames.raw(spark, record("1"), record("3", "Sur", None)))
+    ingest.load(store, frames.raw(spark, record("1"), record("3", "Sur", None), record("2", "Este")))
     assert sorted(r.id_peaje for r in store.peaje().collect()) == [1, 2, 3]
     assert store.peaje().where("nombre_peaje = 'Este'").first().id_peaje == 3
     assert store.flujo_peaje().count() == 3
     assert store.flujo_peaje().columns == FLUJO_NAMES
 
 
+def test_load_keeps_large_counts_and_reports_what_it_cannot_read(spark, tmp_path):
+    store = ParquetStore(spark, str(tmp_path / "store"))
+    records = [
+        record("1.0", VEH_TOTAL="3000000000"), record("2.0", VEH_TOTAL="3e9"), record("3", VEH_TOTAL="NaN"),
+        record("x", MES="?"), record(None), record("y"), record("4", VEH_IMD="bad"), record("5"),
+    ]
+    rejected = ingest.load(store, frames.raw(spark, *records))
+    stored = {r.id_flujo: r.veh_total for r in store.flujo_peaje().collect()}
+    assert stored == {1: 3_000_000_000, 2: 3_000_000_000, 3: None, 4: 0, 5: 0}
+    reasons = sorted(((r.ID or "", r.reasons) for r in rejected.collect()), key=str)
+    assert reasons == [
+        ("", ["ID"]), ("3", ["VEH_TOTAL"]), ("4", ["VEH_IMD"]), ("x", ["ID", "MES"]), ("y", ["ID"]),
+    ]
+
+
+def test_rejected_without_a_station(spark):
+    raw = frames.raw(spark, record("1"), record("2", "Otro", None))
+    rejected = ingest.load_rejected(raw, frames.station(spark, (7, "Norte", "Lima", "Estado")))
+    assert [(r.ID, r.reasons) for r in rejected.collect()] == [("2", ["station"])]
+
+
+def test_csv_files_of_different_headers(spark, tmp_path):
+    one = frames.raw(spark, record("1", VEH_TOTAL="5"))
+    two = frames.raw(spark, record("2", "Sur", VEH_TOTAL="6")).select(F.lit("z").alias("EXTRA"), *reversed(one.columns))
+    for i, frame in enumerate([one, two, one]):
+        write_csv(frame, str(tmp_path / f"m{i}"))
+    got = scan_csv(spark, str(tmp_path / "m*"))
+    assert got.columns == one.columns
+    assert sorted(rows(got.select("ID", "NOMBRE_PEAJE", "VEH_TOTAL"))) == [
+        ("1", "Norte", "5"), ("1", "Norte", "5"), ("2", "Sur", "6"),
+    ]
+
+
 def test_append_is_partitioned_by_year_and_prunes(spark, small, tmp_path):
     store = ParquetStore(spark, str(tmp_path / "store"))
     ingest.load(store, raw_records(traffic_tables(spark, small)))

@@ -6,6 +6,7 @@ from frames import rows
 from pyspark.sql import functions as F
 
 from tollstats.plans import reports, sqlreports
+from tollstats.registry.queries import QUERIES
 from tollstats.schema import Tables
 from tollstats.sources.lineitems import traffic_tables
 from tollstats.sources.tables import register_views
@@ -63,18 +64,16 @@ def test_wide_and_long_agree(spark, small):
     wide = reports.stations_per_year_wide(t)
     names = [c for c in wide.columns if c != "anio"]
     unpivoted = wide.unpivot("anio", names, "administracion", "num_peajes").where("num_peajes > 0")
-    register_views(t)
-    assert sorted(rows(unpivoted)) == sorted(rows(sqlreports.stations_per_year(spark)))
+    assert sorted(rows(unpivoted)) == sorted(rows(sqlreports.stations_per_year(t)))
     assert sorted(rows(unpivoted)) == sorted(rows(reports.stations_per_year(t)))
 
 
 def test_frame_and_sql_reports_agree(spark, small):
     t = traffic_tables(spark, small)
-    register_views(t)
     year = reports.monthly_traffic(t).where(F.col("anio") == 1999)
-    assert sorted(rows(year)) == sorted(rows(sqlreports.year_by_month(spark, 1999)))
-    assert sorted(rows(year)) == sorted(rows(sqlreports.year_by_traffic(spark, 1999)))
-    counted = {r.anio: r.registros for r in sqlreports.records_per_year(spark).collect()}
+    assert sorted(rows(year)) == sorted(rows(sqlreports.year_by_month(t, 1999)))
+    assert sorted(rows(year)) == sorted(rows(sqlreports.year_by_traffic(t, 1999)))
+    counted = {r.anio: r.registros for r in sqlreports.records_per_year(t).collect()}
     assert sum(counted.values()) == t.flujo_peaje.count()
 
 
@@ -109,8 +108,7 @@ def test_ties_do_not_depend_on_the_partitioning(spark, partitions):
     assert [r.nombre_peaje for r in reports.busiest_stations(t, 2020, n=20).collect()] == [
         f"P{i:02d}" for i in range(20)
     ]
-    register_views(t)
-    assert [r.nombre_peaje for r in sqlreports.year_by_traffic(spark, 2020, n=30).collect()] == [
+    assert [r.nombre_peaje for r in sqlreports.year_by_traffic(t, 2020, n=30).collect()] == [
         f"P{i:02d}" for i in range(30)
     ]
     assert [r.nombre_peaje for r in reports.light_share(t, n=25).collect()][-1] == "P24"
@@ -120,8 +118,7 @@ def test_mean_by_department_ignores_missing_counts(spark):
     t = frames.tables(
         spark, STATIONS, [fact(1, 1, total=4), fact(2, 2, total=None), fact(3, 1, mes=2, total=8), fact(4, 3, total=None)]
     )
-    register_views(t)
-    assert rows(sqlreports.mean_by_department(spark, 2020)) == [(2020, "Lima", 6.0), (2020, "Ica", None)]
+    assert rows(sqlreports.mean_by_department(t, 2020)) == [(2020, "Lima", 6.0), (2020, "Ica", None)]
 
 
 def test_preview_and_limits(spark, small):
@@ -130,3 +127,38 @@ def test_preview_and_limits(spark, small):
     assert reports.mean_daily_traffic(t, n=3).count() == 3
     register_views(t, "estaciones", "flujos")
     assert spark.sql("SELECT count(*) AS n FROM flujos JOIN estaciones USING (id_peaje)").first().n == 826
+
+
+def test_sql_reports_leave_no_view_behind(spark, small):
+    spark.range(3).createOrReplaceTempView("flujo_peaje")
+    before = {t.name for t in spark.catalog.listTables()}
+    for name in ("q8", "q9", "q10", "q11", "q12", "topk_q8"):
+        assert QUERIES[name](spark, small).count() > 0
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert spark.table("flujo_peaje").count() == 3
+    spark.catalog.dropTempView("flujo_peaje")
+
+
+@pytest.mark.parametrize("name", ["q2", "q3", "q8", "q11", "q12"])
+def test_years_do_not_depend_on_the_zone(spark, small, name):
+    results = []
+    try:
+        for zone in ("UTC", "Asia/Tokyo", "America/Lima"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            results.append(rows(QUERIES[name](spark, small)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sorted(results[0], key=str) == sorted(results[1], key=str) == sorted(results[2], key=str)
+
+
+def test_year_filter_reaches_the_files(spark, small):
+    plan = traffic_tables(spark, small, 1998).flujo_peaje._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(l_shipdate,1998-01-01" in plan and "LessThan(l_shipdate,1999-01-01" in plan
+
+
+def test_pivot_adds_missing_and_so_named_administrations(spark):
+    stations = [(1, "A", "Lima", None), (2, "B", "Lima", "null"), (3, "C", "Lima", "null"), (4, "D", "Lima", "Estado")]
+    t = frames.tables(spark, stations, [fact(i, i) for i in (1, 2, 3, 4)])
+    assert reports.stations_per_year_wide(t).first().asDict() == {"anio": 2020, "null": 3, "Estado": 1}
+    listed = reports.stations_per_year_wide(t, ["Estado"]).first().asDict()
+    assert listed == {"anio": 2020, "Estado": 1, "rest": 3}

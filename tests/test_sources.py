@@ -55,6 +55,13 @@ def test_year_predicates_are_disjoint_and_complete(spark):
     assert session.read.jdbc.call_args.kwargs["predicates"] == predicates
 
 
+def test_scan_is_split_by_the_stored_ids(spark):
+    session = fake_session(spark.createDataFrame([(5, 90)], "LOW bigint, HIGH bigint"))
+    assert jdbc.id_range(session, SETTINGS, "flujo_peaje", "id_flujo", 8) == jdbc.JdbcRange("id_flujo", 5, 91, 8)
+    empty = fake_session(spark.createDataFrame([(None, None)], "LOW bigint, HIGH bigint"))
+    assert jdbc.id_range(empty, SETTINGS, "flujo_peaje", "id_flujo", 8) is None
+
+
 def test_append():
     frame = MagicMock()
     jdbc.append_jdbc(frame, SETTINGS, "flujo_peaje", connections=8)
@@ -92,6 +99,7 @@ def test_load_into_a_database(spark, small, tmp_path, monkeypatch, assigns_ids):
         frame.write.mode("append").parquet(str(tmp_path / table))
 
     monkeypatch.setattr(jdbc_store, "scan_jdbc", scan)
+    monkeypatch.setattr(jdbc_store, "id_range", lambda *args: None)
     monkeypatch.setattr(jdbc_store, "append_jdbc", append)
     raw = raw_records(traffic_tables(spark, small))
     store = jdbc_store.JdbcStore(spark, SETTINGS, assigns_ids=assigns_ids)
@@ -138,4 +146,6 @@ def session_without_folder(master):
 def test_cluster_without_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging.shared_dir(session_without_folder("spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_dir(session_without_folder("local-cluster[2,1,1024]"))
     assert staging.shared_dir(session_without_folder("local[2]"))

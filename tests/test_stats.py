@@ -144,3 +144,24 @@ def test_fill_touches_only_numeric_columns(spark):
     frame = spark.createDataFrame([(None, None, None)], "a int, b double, c string")
     assert rows(frame.na.fill(0)) == [(0, 0.0, None)]
     assert rows(frame.na.fill(0).select(F.col("c"))) == [(None,)]
+
+
+def test_quantiles_of_distinct_values_in_a_narrow_range(spark):
+    """A million distinct doubles within 0.05, far more than fit one coarse bucket."""
+    frame = spark.range(1_000_000).selectExpr("100 + (id * 7919 % 1000000) * 5e-8 as x")
+    got = exact_quantiles(frame, "x", {"a": 0.25, "b": 0.5}).first()
+    values = sorted(100 + i * 5e-8 for i in range(1_000_000))
+    assert (got.a, got.b) == (values[249_999], values[499_999])
+    ends = spark.createDataFrame([(float("inf"),), (-float("inf"),), (1e308,), (-1e308,), (0.0,)], "x double")
+    assert exact_quantiles(ends, "x", {"a": 0.2, "b": 0.4, "c": 0.6, "d": 1.0}).first() == (
+        -float("inf"), -1e308, 0.0, float("inf"),
+    )
+    longs = spark.range(2**62, 2**62 + 1000)
+    assert exact_quantiles(longs, "id", {"a": 0.5}).first().a == 2**62 + 499
+
+
+def test_metrics_read_the_line_items_once(spark, small):
+    from tollstats.registry.queries import QUERIES
+
+    plan = QUERIES["metrics_table"](spark, small)._jdf.queryExecution().toString()
+    assert "lineitem" not in plan  # all that follows starts from the kept counts

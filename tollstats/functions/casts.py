@@ -1,35 +1,37 @@
-"""Casts from raw text that never raise under ANSI mode."""
+"""Casts from raw text that never raise under ANSI mode and never bend a value.
+
+What cannot be read, or lies outside the target's range, gives null.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-INT_MIN, INT_MAX = -(2**31), 2**31 - 1
+# 20 digits before the point hold every bigint, 18 behind it whatever is cut off.
+NUMBER = "decimal(38,18)"
 
 
 def to_bigint(col: Column) -> Column:
-    """Text to bigint without passing through double, which loses digits past 2^53."""
-    return col.try_cast("bigint")
+    """A number, with or without decimals, to bigint, toward zero and without losing digits.
+
+    '12.0' gives 12 and '3e9' 3000000000; NaN and infinity give null.
+    """
+    return col.try_cast(NUMBER).try_cast("bigint")
+
+
+def to_int(col: Column) -> Column:
+    return to_bigint(col).try_cast("int")
 
 
 def to_double(col: Column) -> Column:
     return col.try_cast("double")
 
 
-def to_int_trunc(col: Column) -> Column:
-    """Text to double to int, toward zero.
-
-    Unreadable text and null give null, NaN gives 0, values outside the int
-    range take the nearest bound.
-    """
-    number = col.try_cast("double")
-    bounded = F.greatest(F.lit(float(INT_MIN)), F.least(F.lit(float(INT_MAX)), number))
-    return (
-        F.when(number.isNull(), F.lit(None).cast("int"))
-        .when(F.isnan(number), F.lit(0))
-        .otherwise(bounded.cast("int"))
-    )
+def unreadable(col: Column, kind: str) -> Column:
+    """True where a value is given and its cast is null; blank text is no value."""
+    given = F.coalesce(F.trim(col.cast("string")) != "", F.lit(False))
+    return given & CASTS[kind](col).isNull()
 
 
-CASTS = {"bigint": to_bigint, "int": to_int_trunc, "double": to_double}
+CASTS = {"bigint": to_bigint, "int": to_int, "double": to_double}

@@ -11,7 +11,8 @@ def dedup_key(frame: DataFrame, key: str) -> DataFrame:
 
     A minimum combines before the shuffle, so a key with any number of copies
     sends at most one row per map task; ranking in a window would gather them
-    all. Null keys form one group.
+    all. Spark has no hash buffer for such structs and sorts each map task's rows
+    instead. Null keys form one group, so leave out rows without a key first.
     """
     others = [c for c in frame.columns if c != key]
     kept = frame.groupBy(key).agg(F.min(F.struct(*others)).alias("kept"))

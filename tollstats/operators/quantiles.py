@@ -1,23 +1,42 @@
-"""Exact quantiles as a one-row frame."""
+"""Exact quantiles by narrowing value ranges, in passes that never gather values."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Buckets per unit of the logarithm: 43,000 cover the ints, 1.5 million all doubles.
-LOG_SCALE = 1000
+from tollstats.sources.staging import ensure_checkpoint_dir
 
+# The first pass cuts values by their logarithm, at most 14,200 buckets for all
+# doubles; each further one cuts what is left into equal steps.
+LOG_SCALE = 10
+INFINITE = 1_000_000
+STEPS = 1024
 
-def _value_bucket(x: Column) -> Column:
-    """A bucket number that never falls as x grows; buckets widen with the size of x.
 
-    Declared free of nulls, so that both users of the value counts share their shuffle.
-    """
+def _log_bucket(x: Column) -> Column:
+    """A bucket number that never falls as x grows; buckets widen with the size of x."""
     x = x.cast("double")
-    return F.coalesce(F.floor(F.signum(x) * F.log1p(F.abs(x)) * LOG_SCALE), F.lit(0))
+    finite = F.floor(F.signum(x) * F.log1p(F.abs(x)) * LOG_SCALE)
+    return F.when(x == float("inf"), INFINITE).when(x == float("-inf"), -INFINITE).otherwise(finite)
+
+
+def _totals(counts: DataFrame, *keys: Column) -> list:
+    """Rows, smallest and largest value of each bucket: a bounded number of rows."""
+    totals = counts.groupBy(*keys).agg(F.sum("n").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    return totals.collect()
+
+
+def _holding(buckets: list, rank: int) -> tuple:
+    """(low, high, rank within) of the bucket that holds the rank-th value."""
+    for bucket in sorted(buckets, key=lambda b: b["low"]):
+        if rank <= bucket["n"]:
+            return bucket["low"], bucket["high"], rank
+        rank -= bucket["n"]
+    raise ValueError("rank beyond the rows")
 
 
 def exact_quantiles(
@@ -26,42 +45,52 @@ def exact_quantiles(
     """One row with, per named probability p, the ceil(p*n)-th smallest value.
 
     Nulls and NaN are left out; without values the row holds nulls. Equal
-    values are counted first. The counts are accumulated inside value buckets,
-    and only the bucket totals, whose number has a fixed bound, meet in one
-    task. One scan serves all probabilities.
+    values are counted once and the counts kept in the shared folder, so the
+    frame is read once. Each pass adds up buckets of the range that still holds
+    a rank, with map-side combining, and goes on with one bucket per rank until
+    that has a single value; a pass narrows a range about a thousandfold.
     """
+    spark = frame.sparkSession
     value = F.col(column)
     counts = (
         frame.where(value.isNotNull() & ~F.isnan(value.cast("double")))
         .groupBy(value.alias("x"))
         .agg(F.count("*").alias("n"))
-        .withColumn("bucket", _value_bucket(F.col("x")))
-    )
-    by_bucket = Window.orderBy("bucket")
-    earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    everything = by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shifts = (
-        counts.groupBy("bucket")
-        .agg(F.sum("n").alias("size"))
-        .select(
-            "bucket",
-            F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("shift"),
-            F.sum("size").over(everything).alias("total"),
-        )
-    )
-    inside = Window.partitionBy("bucket").orderBy("x")
-    # shifts holds three numbers for each of a bounded number of buckets.
-    ranked = (
-        counts.withColumn("inside", F.sum("n").over(inside))
-        .join(F.broadcast(shifts), "bucket")
-        .select("x", "total", (F.col("shift") + F.col("inside")).alias("reached"))
     )
+    ensure_checkpoint_dir(spark)
+    counts = counts.checkpoint()
+    kind = counts.schema["x"].dataType
+    first = _totals(counts, _log_bucket(F.col("x")).alias("bucket"))
+    total = sum(b["n"] for b in first)
+    found: dict[str, tuple] = {}
+    if total:
+        found = {
+            name: _holding(first, max(1, _rank(p, total))) for name, p in probabilities.items()
+        }
+    while open_ranges := sorted({(low, high) for low, high, _ in found.values() if low < high}):
+        cut = {r: _totals(*_cut(counts, kind, *r)) for r in open_ranges}
+        found = {
+            name: _holding(cut[low, high], rank) if low < high else (low, high, rank)
+            for name, (low, high, rank) in found.items()
+        }
+    result = {name: found[name][0] if found else None for name in probabilities}
+    return spark.range(1).select(*[F.lit(v).cast(kind).alias(name) for name, v in result.items()])
+
+
+def _rank(p: float, total: int) -> int:
+    """ceil(p * total) in double precision, as SQL engines take it."""
+    return math.ceil(p * total)
 
-    def smallest_reaching(p: float) -> Column:
-        rank = F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("total")))
-        return F.min(F.when(F.col("reached") >= rank, F.col("x")))
 
-    return ranked.agg(*[smallest_reaching(p).alias(n) for n, p in probabilities.items()])
+def _cut(counts: DataFrame, kind, low, high) -> tuple[DataFrame, Column]:
+    """The counts between two values, and the number of the step in which each lies.
+
+    Differences are taken in the column's own type, so the ends of a range of
+    long integers stay apart, and there are always two steps at least.
+    """
+    x, start, end = F.col("x"), F.lit(low).cast(kind), F.lit(high).cast(kind)
+    step = F.floor((x - start).cast("double") / (end - start).cast("double") * STEPS)
+    return counts.where((x >= start) & (x <= end)), step.alias("bucket")
 
 
 def with_quantiles(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tollstats.functions.hashing import hash_bucket, key_text
 
 SEED = 1234
+COPY_BLOCK = 1000
 
 
 def split_side(keys: Sequence[str], weights: Sequence[int] = (80, 20), seed: int = SEED):
@@ -41,8 +42,8 @@ def oversample(
 ) -> DataFrame:
     """Repeat each minority row max(1, majority rows div minority rows) times.
 
-    One scan: the ratio is a scalar subquery and the copies come from an
-    explode. Rows of neither class are left out. ``copy_column`` numbers the
+    One scan: the ratio is a scalar subquery, and the copies come from two
+    explodes of bounded arrays, whatever the ratio. Rows of neither class are left out. ``copy_column`` numbers the
     copies from 1.
     """
     is_minority = F.col(label) == minority
@@ -53,9 +54,17 @@ def oversample(
     ratio = sizes.select(
         F.when(F.col("small") > 0, F.greatest(F.lit(1), F.expr("large div small")))
         .otherwise(1)
-        .cast("int")
+        .cast("bigint")
     ).scalar()
-    copies = F.sequence(F.lit(1), F.when(is_minority, ratio).otherwise(1))
+    wanted = F.when(is_minority, ratio).otherwise(F.lit(1).cast("bigint"))
     name = copy_column or "_copy"
-    repeated = frame.where(is_minority | is_majority).select("*", F.explode(copies).alias(name))
+    whole = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_wanted - 1) div {COPY_BLOCK}"))
+    last = F.least(F.col("_wanted"), (F.col("_block") + 1) * COPY_BLOCK)
+    repeated = (
+        frame.where(is_minority | is_majority)
+        .withColumn("_wanted", wanted)
+        .withColumn("_block", F.explode(whole))
+        .withColumn(name, F.explode(F.sequence(F.col("_block") * COPY_BLOCK + 1, last)))
+        .drop("_wanted", "_block")
+    )
     return repeated if copy_column else repeated.drop(name)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollstats.functions.scoring import label_between, label_from
+from tollstats.operators.joins import broadcast_if_small
 from tollstats.operators.quantiles import with_quantiles
 from tollstats.schema import Tables
 
@@ -24,7 +25,7 @@ def ml_base(tables: Tables) -> DataFrame:
     """Numbers as doubles with nulls as 0, categories left as they are, and the record id."""
     numbers = [*NUMERIC_FEATURES, TARGET]
     return (
-        tables.flujo_peaje.join(tables.peaje, "id_peaje")
+        tables.flujo_peaje.join(broadcast_if_small(tables.peaje), "id_peaje")
         .select("id_flujo", *[F.col(c).cast("double").alias(c) for c in numbers], *CATEGORIES)
         .na.fill(0, subset=numbers)
     )

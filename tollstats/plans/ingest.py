@@ -12,8 +12,9 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollstats.functions.casts import CASTS
+from tollstats.functions.casts import CASTS, unreadable
 from tollstats.operators.dedup import dedup_key
+from tollstats.operators.joins import broadcast_if_small
 from tollstats.operators.surrogate import ID_BUCKETS, assign_ids
 from tollstats.schema import FLUJO_NAMES, ID_COLUMN, MEASURE_COLUMNS, STATION_COLUMNS, STATION_KEY
 
@@ -46,7 +47,7 @@ def dim_new(candidates: DataFrame, existing: DataFrame, null_safe: bool = True)
     A missing key part equals a missing key part. With ``null_safe=False`` it
     equals nothing, so such a station is new on every load.
     """
-    stored = existing.select(*STATION_KEY).distinct()
+    stored = existing.select(*STATION_KEY)
     return candidates.join(stored, _same_key(candidates, stored, null_safe), "left_anti")
 
 
@@ -70,7 +71,7 @@ def fact_typed(raw: DataFrame) -> DataFrame:
 def fact_lookup(typed: DataFrame, peaje: DataFrame, null_safe: bool = True) -> DataFrame:
     """Replace the station's key columns by its id; rows without a station drop out."""
     stations = peaje.select("id_peaje", *STATION_KEY).distinct()
-    joined = typed.join(stations, _same_key(typed, stations, null_safe))
+    joined = typed.join(broadcast_if_small(stations), _same_key(typed, stations, null_safe))
     return joined.select(*FLUJO_NAMES)
 
 
@@ -80,10 +81,31 @@ def fact_rejected(typed: DataFrame, peaje: DataFrame, null_safe: bool = True) ->
     return typed.join(stations, _same_key(typed, stations, null_safe), "left_anti")
 
 
+def load_rejected(raw: DataFrame, peaje: DataFrame, null_safe: bool = True) -> DataFrame:
+    """The raw records that are not, or not wholly, loaded, with the reasons.
+
+    ``reasons`` lists the raw columns whose text cannot be read, ID also if it
+    is missing, and ``station`` where no station matches. Records without an id
+    or a station are not stored; others are, with nulls for what is unreadable.
+    """
+    # Raw and stored names differ in case only, which Spark does not tell apart.
+    stations = peaje.select(F.lit(True).alias("known"), *[F.col(k).alias(f"_{k}") for k in STATION_KEY]).distinct()
+    pairs = [(F.col(raw_name), F.col(f"_{name}")) for raw_name, name in STATION_COLUMNS]
+    same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
+    joined = raw.join(broadcast_if_small(stations), same, "left")
+    identified = CASTS[ID_COLUMN.kind](F.col(ID_COLUMN.raw)).isNotNull()
+    reasons = [
+        F.when(~identified, F.lit(ID_COLUMN.raw)),
+        *[F.when(unreadable(F.col(c.raw), c.kind), F.lit(c.raw)) for c in MEASURE_COLUMNS],
+        F.when(F.col("known").isNull(), F.lit("station")),
+    ]
+    rejected = joined.withColumn("reasons", F.array_compact(F.array(*reasons)))
+    return rejected.where(F.size("reasons") > 0).select(*raw.columns, "reasons")
+
+
 def fact_new(fact: DataFrame, existing: DataFrame) -> DataFrame:
-    """Records whose id is not yet stored; a missing id counts as an id."""
-    stored = existing.select("id_flujo").distinct()
-    return fact.join(stored, fact["id_flujo"].eqNullSafe(stored["id_flujo"]), "left_anti")
+    """Records whose id is not yet stored; one without an id is always new."""
+    return fact.join(existing.select("id_flujo"), "id_flujo", "left_anti").select(*fact.columns)
 
 
 def load_dim(store: Store, raw: DataFrame, buckets: int = ID_BUCKETS) -> None:
@@ -94,11 +116,14 @@ def load_dim(store: Store, raw: DataFrame, buckets: int = ID_BUCKETS) -> None:
 
 
 def load_fact(store: Store, raw: DataFrame) -> None:
-    """Append the records the store lacks, one per id."""
-    fact = dedup_key(fact_lookup(fact_typed(raw), store.peaje()), ID_COLUMN.name)
+    """Append the records the store lacks, one per id; those without an id are left out."""
+    typed = fact_typed(raw).where(F.col(ID_COLUMN.name).isNotNull())
+    fact = dedup_key(fact_lookup(typed, store.peaje()), ID_COLUMN.name)
     store.append_flujo(fact_new(fact, store.flujo_peaje()))
 
 
-def load(store: Store, raw: DataFrame) -> None:
+def load(store: Store, raw: DataFrame) -> DataFrame:
+    """Load stations and records; what was left out comes back (see ``load_rejected``)."""
     load_dim(store, raw)
     load_fact(store, raw)
+    return load_rejected(raw, store.peaje())

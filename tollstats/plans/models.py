@@ -51,15 +51,15 @@ def logistic() -> LogisticRegression:
 
 def perceptron(inputs: int) -> MultilayerPerceptronClassifier:
     layers = [inputs, *PERCEPTRON_HIDDEN, BINARY_CLASSES]
-    return MultilayerPerceptronClassifier(layers=layers, maxIter=PERCEPTRON_ITERATIONS)
+    return MultilayerPerceptronClassifier(layers=layers, maxIter=PERCEPTRON_ITERATIONS, seed=SEED)
 
 
 def decision_tree() -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(maxDepth=TREE_DEPTH)
+    return DecisionTreeClassifier(maxDepth=TREE_DEPTH, seed=SEED)
 
 
 def random_forest() -> RandomForestClassifier:
-    return RandomForestClassifier(numTrees=FOREST_TREES, maxDepth=FOREST_DEPTH)
+    return RandomForestClassifier(numTrees=FOREST_TREES, maxDepth=FOREST_DEPTH, seed=SEED)
 
 
 def multinomial() -> LogisticRegression:
@@ -75,9 +75,7 @@ def staged_base(tables: Tables) -> DataFrame:
     base = ml_base(tables)
     spark = base.sparkSession
     ensure_checkpoint_dir(spark)
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(configured, spark.sparkContext.defaultParallelism)
-    return base.repartition(partitions).checkpoint()
+    return base.hint("rebalance").checkpoint()
 
 
 def feature_frame(labelled: DataFrame, scale: bool = False) -> DataFrame:

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollstats.operators.joins import broadcast_if_small
 from tollstats.operators.ordering import ordered
 from tollstats.schema import Tables
 from tollstats.sources.staging import ensure_checkpoint_dir
@@ -55,9 +56,13 @@ def busiest_stations(
 
 def stations_per_year(tables: Tables) -> DataFrame:
     """q4 in long form: distinct stations by year and administration."""
-    active = tables.flujo_peaje.select("anio", "id_peaje").distinct()
+    return _stations_per_year(tables.flujo_peaje, tables.peaje)
+
+
+def _stations_per_year(flujo: DataFrame, peaje: DataFrame) -> DataFrame:
+    active = flujo.select("anio", "id_peaje").distinct()
     return (
-        active.join(tables.peaje, "id_peaje")
+        active.join(peaje, "id_peaje")
         .groupBy("anio", "administracion")
         .agg(F.countDistinct("id_peaje").alias("num_peajes"))
     )
@@ -67,19 +72,23 @@ def stations_per_year_wide(
     tables: Tables,
     administrations: Sequence[str] | None = None,
     null_label: str = "null",
+    rest_label: str = "rest",
     n: int | None = None,
 ) -> DataFrame:
     """q4: one row per year, one column per administration, 0 where there is none.
 
     The administrations found in the data become columns. To find them without
     computing the counts twice, the long form (years times administrations) is
-    checkpointed first. A caller who lists them saves that step and gets the
-    listed ones only. Stations without one count under ``null_label``; the year
+    checkpointed first. A caller who lists them saves that step; all others
+    then count under ``rest_label``. Stations without one count under
+    ``null_label``, together with those that are really called so; the year
     itself is never filled.
     """
-    long = stations_per_year(tables).withColumn(
-        "administracion", F.coalesce("administracion", F.lit(null_label))
-    )
+    name = F.coalesce("administracion", F.lit(null_label))
+    if administrations:
+        name = F.when(name.isin(*administrations), name).otherwise(rest_label)
+        administrations = [a for a in administrations if a != rest_label] + [rest_label]
+    long = _stations_per_year(tables.flujo_peaje, tables.peaje.withColumn("administracion", name))
     if not administrations:
         ensure_checkpoint_dir(long.sparkSession)
         long = long.checkpoint()
@@ -89,7 +98,7 @@ def stations_per_year_wide(
         if administrations
         else by_year.pivot("administracion")
     )
-    wide = pivoted.agg(F.first("num_peajes"))
+    wide = pivoted.agg(F.sum("num_peajes"))
     filled = wide.na.fill(0, subset=[c for c in wide.columns if c != "anio"])
     return ordered(filled, [F.asc("anio")], [], n)
 
@@ -102,7 +111,7 @@ def mean_daily_traffic(tables: Tables, n: int | None = None) -> DataFrame:
 
 def joined_records(tables: Tables) -> DataFrame:
     """Fact and dimension on the shared id, which appears once."""
-    return tables.flujo_peaje.join(tables.peaje, "id_peaje")
+    return tables.flujo_peaje.join(broadcast_if_small(tables.peaje), "id_peaje")
 
 
 def monthly_traffic(tables: Tables, n: int | None = None) -> DataFrame:

@@ -5,7 +5,16 @@ from __future__ import annotations
 from tollstats.functions.hashing import NULL_MARK
 from tollstats.operators.sampling import SEED
 from tollstats.operators.surrogate import ID_BUCKETS
+from tollstats.plans.models import (
+    FOREST_NAME,
+    LOGISTIC_NAME,
+    MULTINOMIAL_NAME,
+    PERCEPTRON_NAME,
+    TREE_NAME,
+)
 from tollstats.registry.queries import (
+    BAD_ID_EVERY,
+    BAD_TOTAL_EVERY,
     HEAVY_CUT,
     LOADED_BEFORE,
     Q2_MORE_THAN,
@@ -21,11 +30,14 @@ from tollstats.registry.queries import (
 )
 from tollstats.schema import FLUJO_NAMES, MEASURE_COLUMNS, STATION_COLUMNS
 
+BINARY_NAMES = [LOGISTIC_NAME, PERCEPTRON_NAME]
+TERCILE_NAMES = [TREE_NAME, FOREST_NAME, MULTINOMIAL_NAME]
 _AXLES = "\n".join(
     f"  sum(CASE WHEN l_linenumber = {a} AND l_discount <= 0.05 THEN v ELSE 0 END) AS veh_pesados_{a}e,"
     for a in range(2, 8)
 )
-_COUNTS = [c.name for c in MEASURE_COLUMNS if c.kind == "int" and c.name.startswith("veh_")]
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE"}
+_COUNTS = [c.name for c in MEASURE_COLUMNS if c.kind == "bigint"]
 _DAYS = "CAST(day(last_day(make_date(anio, mes, 1))) AS DOUBLE)"
 
 
@@ -62,7 +74,7 @@ juntos AS (SELECT * FROM flujo_peaje JOIN peaje USING (id_peaje))
 """
 
 _INT_MEASURES = ", ".join(
-    f"CAST({c.name} AS INTEGER) AS {c.name}" if c.kind == "int" else c.name for c in MEASURE_COLUMNS
+    f"CAST({c.name} AS {SQL_TYPES[c.kind]}) AS {c.name}" for c in MEASURE_COLUMNS
 )
 _STATION = "nombre_peaje, departamento, administracion"
 _STATION_TEXT = "concat_ws('|', {})".format(
@@ -103,7 +115,7 @@ def _oversample(p: float) -> str:
 sizes AS (SELECT count(*) FILTER (label = 0) AS large, count(*) FILTER (label = 1) AS small FROM labelled)
 SELECT id_flujo, veh_total, label,
        CAST(unnest(range(1, CASE WHEN label = 1 THEN greatest(1, (SELECT large // small FROM sizes)) ELSE 1 END + 1))
-            AS INTEGER) AS copy
+            AS BIGINT) AS copy
 FROM labelled"""
 
 
@@ -202,7 +214,7 @@ _RAW_COLUMNS = ", ".join(
     ["CAST(id_flujo AS BIGINT) AS \"ID\""]
     + [f'{name} AS "{raw}"' for raw, name in STATION_COLUMNS]
     + [
-        f'CAST({c.name} AS {"DOUBLE" if c.kind == "double" else "INTEGER"}) AS "{c.raw}"'
+        f'CAST({c.name} AS {SQL_TYPES[c.kind]}) AS "{c.raw}"'
         for c in MEASURE_COLUMNS
     ]
 )
@@ -251,6 +263,12 @@ UNION ALL {_numbered(_NEW, "(SELECT max(id_peaje) FROM peaje WHERE id_peaje % 2
     "fact_lookup": f"SELECT {_FACT} FROM juntos WHERE id_peaje % 2 = 0",
     "fact_rejected": f"SELECT id_flujo, {_STATION}, {_INT_MEASURES} FROM juntos WHERE id_peaje % 2 <> 0",
     "fact_new": f"SELECT {', '.join(FLUJO_NAMES)} FROM flujo_peaje WHERE anio >= {LOADED_BEFORE}",
+    "load_rejected": f"""SELECT * FROM (
+  SELECT CASE WHEN id_flujo % {BAD_ID_EVERY} = 0 THEN 'x' ELSE '' END || id_flujo AS "ID",
+         concat_ws(',', CASE WHEN id_flujo % {BAD_ID_EVERY} = 0 THEN 'ID' END,
+                   CASE WHEN id_flujo % {BAD_TOTAL_EVERY} = 0 THEN 'VEH_TOTAL' END,
+                   CASE WHEN id_peaje % 2 <> 0 THEN 'station' END) AS reasons
+  FROM juntos) r WHERE reasons <> ''""",
     "load_fact": f"SELECT {_FACT} FROM flujo_peaje",
     "dedup_key": """SELECT id_flujo, mes, veh_total, veh_imd FROM (
   SELECT *, row_number() OVER (PARTITION BY id_flujo ORDER BY mes, veh_total, veh_imd) AS r FROM (
@@ -306,11 +324,21 @@ SELECT modelo, label, round(CAST(hits AS DOUBLE) / of_label, 6) AS class_recall
     "logloss_binary_compat": f"""{_SCORES}
 SELECT round(avg(-(label * ln(p_true) + (1 - label) * ln(1 - p_true))), 6) AS loss FROM rule_losses""",
     "logloss_multi": f"{_SCORES} SELECT round(avg(-ln(p_true)), 6) AS loss FROM tercile_losses",
+    "ml_scored_rows": f"""{_BASE}, sides AS (
+  SELECT *, {_SIDE_BUCKET} >= 80 AS test FROM base),
+both_labels AS (
+  SELECT test, CASE WHEN veh_total >= (SELECT quantile_disc(veh_total, 0.5) FROM base)
+                    THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS two_class,
+         {_tercile("veh_total", "base")} AS three_class FROM sides)
+SELECT modelo, label, count(*) AS "rows", CAST(count(*) AS DOUBLE) AS probability
+FROM (SELECT unnest({BINARY_NAMES}) AS modelo, two_class AS label FROM both_labels WHERE test
+      UNION ALL SELECT unnest({TERCILE_NAMES}), three_class FROM both_labels WHERE test) m
+GROUP BY modelo, label""",
     "metrics_table": f"{_METRICS} SELECT * FROM metrics",
 }
 
 ORACLE: dict[str, str] = {name: BINDING + body for name, body in _BODIES.items()}
 ORACLE["cast_trunc"] = """
 SELECT l_orderkey, l_linenumber, l_partkey,
-       CAST(trunc(CASE WHEN l_linenumber % 2 = 0 THEN -l_extendedprice ELSE l_extendedprice END) AS INTEGER) AS price
+       CAST(trunc(CASE WHEN l_linenumber % 2 = 0 THEN -l_extendedprice ELSE l_extendedprice END) AS BIGINT) AS price
 FROM lineitem"""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollstats.functions.casts import CASTS, to_int_trunc
+from tollstats.functions.casts import CASTS, to_bigint
 from tollstats.operators.dedup import dedup_key
 from tollstats.operators.evaluation import confusion_matrix, metrics_table, recall_by_class
 from tollstats.operators.quantiles import exact_quantiles
@@ -22,8 +22,7 @@ from tollstats.schema import FLUJO_SCHEMA, ID_COLUMN, MEASURE_COLUMNS, RAW_NAMES
 from tollstats.sources.csv_files import scan_csv, write_csv
 from tollstats.sources.lineitems import raw_records, traffic_tables
 from tollstats.sources.parquet_store import ParquetStore
-from tollstats.sources.staging import staging_path
-from tollstats.sources.tables import register_views
+from tollstats.sources.staging import ensure_checkpoint_dir, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 Q2_YEAR, Q2_MORE_THAN = 1998, 250
 Q3_YEAR, Q8_YEAR, Q11_YEAR, Q12_YEAR = 1998, 1999, 1998, 1997
 LOADED_BEFORE = 1998
+BAD_ID_EVERY, BAD_TOTAL_EVERY = 97, 89
 RARE_QUANTILE = 0.9
 HEAVY_CUT = 0.85
 RULE, TERCILE_RULE = "regla", "regla de terciles"
@@ -51,9 +51,8 @@ def _report(plan: Callable[..., DataFrame], *args, anio: int | None = None, **op
 
 def _sql_report(plan: Callable[..., DataFrame], anio: int | None = None, n: int | None = None) -> Query:
     def run(spark: SparkSession, path: str) -> DataFrame:
-        register_views(traffic_tables(spark, path, anio))
         years = () if anio is None else (anio,)
-        return plan(spark, *years, n=n)
+        return plan(traffic_tables(spark, path, anio), *years, n=n)
 
     return run
 
@@ -84,8 +83,8 @@ def _half_loaded(tables: Tables) -> DataFrame:
     return tables.peaje.where(F.col("id_peaje") % 2 == 0)
 
 
-def _int_fact(tables: Tables) -> DataFrame:
-    """The fact under its declared schema."""
+def _declared_fact(tables: Tables) -> DataFrame:
+    """The fact under its declared schema, which holds every count."""
     return tables.flujo_peaje.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in FLUJO_SCHEMA]
     )
@@ -100,7 +99,7 @@ def cast_trunc(spark: SparkSession, path: str) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
-        to_int_trunc(price.cast("string")).alias("price"),
+        to_bigint(price.cast("string")).alias("price"),
     )
 
 
@@ -134,6 +133,19 @@ def fact_rejected(tables: Tables) -> DataFrame:
     return ingest.fact_rejected(ingest.fact_typed(raw_records(tables)), _half_loaded(tables))
 
 
+def load_rejected(tables: Tables) -> DataFrame:
+    """What a load of damaged records leaves out: some ids and some totals cannot be read."""
+    raw, number = raw_records(tables), F.col("ID").cast("bigint")
+    damaged = raw.withColumns(
+        {
+            "ID": F.when(number % BAD_ID_EVERY == 0, F.concat(F.lit("x"), "ID")).otherwise(F.col("ID")),
+            "VEH_TOTAL": F.when(number % BAD_TOTAL_EVERY == 0, F.lit("NaN")).otherwise(F.col("VEH_TOTAL")),
+        }
+    )
+    rejected = ingest.load_rejected(damaged, _half_loaded(tables))
+    return rejected.select("ID", F.array_join("reasons", ",").alias("reasons"))
+
+
 def fact_new(tables: Tables) -> DataFrame:
     stored = tables.flujo_peaje.where(F.col("anio") < LOADED_BEFORE)
     return ingest.fact_new(tables.flujo_peaje, stored)
@@ -159,7 +171,7 @@ def load_fact(spark: SparkSession, path: str) -> DataFrame:
     tables = traffic_tables(spark, path)
     store = ParquetStore(spark, staging_path(spark, "load-fact"))
     store.append_peaje(tables.peaje)
-    store.append_flujo(_int_fact(tables).where(F.col("anio") < LOADED_BEFORE))
+    store.append_flujo(_declared_fact(tables).where(F.col("anio") < LOADED_BEFORE))
     ingest.load_fact(store, raw_records(tables))
     return store.flujo_peaje()
 
@@ -167,7 +179,7 @@ def load_fact(spark: SparkSession, path: str) -> DataFrame:
 def parquet_append(spark: SparkSession, path: str) -> DataFrame:
     tables = traffic_tables(spark, path)
     store = ParquetStore(spark, staging_path(spark, "append"))
-    fact = _int_fact(tables)
+    fact = _declared_fact(tables)
     store.append_flujo(fact.where(F.col("anio") < LOADED_BEFORE))
     store.append_flujo(fact.where(F.col("anio") >= LOADED_BEFORE))
     return store.flujo_peaje()
@@ -192,18 +204,18 @@ def union_all(tables: Tables) -> DataFrame:
 
 
 def label_median(tables: Tables) -> DataFrame:
-    return features.label_median(features.ml_base(tables)).select("id_flujo", "veh_total", "label")
+    return features.label_median(models.staged_base(tables)).select("id_flujo", "veh_total", "label")
 
 
 def label_terciles(tables: Tables) -> DataFrame:
-    return features.label_terciles(features.ml_base(tables)).select(
+    return features.label_terciles(models.staged_base(tables)).select(
         "id_flujo", "veh_total", "label"
     )
 
 
 def oversampled(probability: float) -> Callable[[Tables], DataFrame]:
     def run(tables: Tables) -> DataFrame:
-        labelled = features.label_median(features.ml_base(tables), probability=probability)
+        labelled = features.label_median(models.staged_base(tables), probability=probability)
         return oversample(labelled, "label", 1.0, 0.0, copy_column="copy").select(
             "id_flujo", "veh_total", "label", "copy"
         )
@@ -223,7 +235,7 @@ def split_counts(tables: Tables) -> DataFrame:
 
 
 def string_index(tables: Tables) -> DataFrame:
-    base = features.ml_base(tables)
+    base = models.staged_base(tables)
     indexed = features.string_indexer().fit(base).transform(base)
     pairs = [
         F.struct(
@@ -237,7 +249,7 @@ def string_index(tables: Tables) -> DataFrame:
 
 
 def one_hot(tables: Tables) -> DataFrame:
-    base = features.ml_base(tables)
+    base = models.staged_base(tables)
     indexed = features.string_indexer().fit(base).transform(base)
     encoded = features.one_hot_encoder().fit(indexed).transform(indexed)
     department, administration = (
@@ -249,7 +261,7 @@ def one_hot(tables: Tables) -> DataFrame:
 
 
 def feature_entries(tables: Tables) -> DataFrame:
-    base = features.ml_base(tables)
+    base = models.staged_base(tables)
     frame = features.feature_pipeline().fit(base).transform(base)
     return features.vector_entries(frame, "id_flujo", "features")
 
@@ -257,6 +269,14 @@ def feature_entries(tables: Tables) -> DataFrame:
 # --- metrics on rule-based scorers ------------------------------------------------
 
 
+def _counted(tables: Tables) -> Tables:
+    """The tables with the fact's counts read once, into the shared folder: cuts, labels
+    and scores all start from there."""
+    counts = tables.flujo_peaje.select("veh_ligeros_total", "veh_pesados_total", "veh_total")
+    ensure_checkpoint_dir(counts.sparkSession)
+    return Tables(tables.peaje, counts.checkpoint())
+
+
 def rule_scores(tables: Tables) -> DataFrame:
     """Two-class scores by the share of heavy vehicles, against the median label."""
     labelled = features.label_median(tables.flujo_peaje)
@@ -292,6 +312,7 @@ def _tercile_losses(tables: Tables) -> DataFrame:
 
 
 def rule_metrics(tables: Tables) -> DataFrame:
+    tables = _counted(tables)
     both = _rule_losses(tables).unionByName(_tercile_losses(tables))
     table = metrics_table(both)
     return table.select("modelo", *[F.round(c, 6).alias(c) for c in table.columns[1:]])
@@ -302,16 +323,18 @@ def _metric(name: str) -> Callable[[Tables], DataFrame]:
 
 
 def class_recall(tables: Tables) -> DataFrame:
+    tables = _counted(tables)
     both = _rule_losses(tables).unionByName(_tercile_losses(tables))
     return recall_by_class(both).withColumn("class_recall", F.round("class_recall", 6))
 
 
 def rule_confusion(tables: Tables) -> DataFrame:
+    tables = _counted(tables)
     return confusion_matrix(rule_scores(tables).unionByName(tercile_rule_scores(tables)))
 
 
 def _mean_loss(losses: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-    return lambda tables: losses(tables).agg(F.round(F.avg("loss"), 6).alias("loss"))
+    return lambda tables: losses(_counted(tables)).agg(F.round(F.avg("loss"), 6).alias("loss"))
 
 
 # --- trained models ----------------------------------------------------------------
@@ -334,6 +357,18 @@ def _scored(name: str, binary: bool) -> Callable[[Tables], DataFrame]:
     return run
 
 
+def ml_scored_rows(tables: Tables) -> DataFrame:
+    """Test rows of every model by label, and the sum of their class probabilities."""
+    binary, terciles = models.binary_features(tables), models.tercile_features(tables)
+    scored = models.train_and_score(binary, models.binary_models(binary)).unionByName(
+        models.train_and_score(terciles, models.tercile_models(terciles))
+    )
+    mass = F.aggregate("probability", F.lit(0.0), lambda total, p: total + p)
+    return scored.groupBy("modelo", "label").agg(
+        F.count("*").alias("rows"), F.round(F.sum(mass), 6).alias("probability")
+    )
+
+
 TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "dim_extract": lambda t: ingest.dim_extract(raw_records(t)),
     "dim_new": dim_new,
@@ -342,6 +377,7 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "fact_typed": lambda t: ingest.fact_typed(raw_records(t)),
     "fact_lookup": fact_lookup,
     "fact_rejected": fact_rejected,
+    "load_rejected": load_rejected,
     "fact_new": fact_new,
     "dedup_key": dedup_by_year,
     "join_using": reports.joined_records,
@@ -379,6 +415,7 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "ml_lr_multi": _scored(models.MULTINOMIAL_NAME, binary=False),
     "ml_compare_binary": models.compare_binary,
     "ml_compare_multi": models.compare_multi,
+    "ml_scored_rows": ml_scored_rows,
 }
 
 QUERIES: dict[str, Query] = {

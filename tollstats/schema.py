@@ -30,20 +30,20 @@ STATION_COLUMNS = [
 MEASURE_COLUMNS = [
     RawColumn("ANIO", "anio", "int"),
     RawColumn("MES", "mes", "int"),
-    RawColumn("VEH_LIGEROS_TAR_DIF", "veh_ligeros_tar_dif", "int"),
-    RawColumn("VEH_LIGEROS_AUTOMOVILES", "veh_ligeros_automoviles", "int"),
-    RawColumn("VEH_LIGEROS_TOTAL", "veh_ligeros_total", "int"),
+    RawColumn("VEH_LIGEROS_TAR_DIF", "veh_ligeros_tar_dif", "bigint"),
+    RawColumn("VEH_LIGEROS_AUTOMOVILES", "veh_ligeros_automoviles", "bigint"),
+    RawColumn("VEH_LIGEROS_TOTAL", "veh_ligeros_total", "bigint"),
     RawColumn("VEH_LIGEROS_IMD", "veh_ligeros_imd", "double"),
-    RawColumn("VEH_PESADOS_TAR_DIF", "veh_pesados_tar_dif", "int"),
-    RawColumn("VEH_PESADOS__2E", "veh_pesados_2e", "int"),
-    RawColumn("VEH_PESADOS_3E", "veh_pesados_3e", "int"),
-    RawColumn("VEH_PESADOS_4E", "veh_pesados_4e", "int"),
-    RawColumn("VEH_PESADOS_5E", "veh_pesados_5e", "int"),
-    RawColumn("VEH_PESADOS_6E", "veh_pesados_6e", "int"),
-    RawColumn("VEH_PESADOS_7E", "veh_pesados_7e", "int"),
-    RawColumn("VEH_PESADOS_TOTAL", "veh_pesados_total", "int"),
+    RawColumn("VEH_PESADOS_TAR_DIF", "veh_pesados_tar_dif", "bigint"),
+    RawColumn("VEH_PESADOS__2E", "veh_pesados_2e", "bigint"),
+    RawColumn("VEH_PESADOS_3E", "veh_pesados_3e", "bigint"),
+    RawColumn("VEH_PESADOS_4E", "veh_pesados_4e", "bigint"),
+    RawColumn("VEH_PESADOS_5E", "veh_pesados_5e", "bigint"),
+    RawColumn("VEH_PESADOS_6E", "veh_pesados_6e", "bigint"),
+    RawColumn("VEH_PESADOS_7E", "veh_pesados_7e", "bigint"),
+    RawColumn("VEH_PESADOS_TOTAL", "veh_pesados_total", "bigint"),
     RawColumn("VEH_PESADOS_IMD", "veh_pesados_imd", "double"),
-    RawColumn("VEH_TOTAL", "veh_total", "int"),
+    RawColumn("VEH_TOTAL", "veh_total", "bigint"),
     RawColumn("VEH_IMD", "veh_imd", "double"),
 ]
 ID_COLUMN = RawColumn("ID", "id_flujo", "bigint")

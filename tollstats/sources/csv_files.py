@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tollstats.schema import RAW_NAMES
 
+HEADERS_AT_ONCE = 16
+
 
 def scan_csv(
     spark: SparkSession,
@@ -15,15 +20,37 @@ def scan_csv(
 ) -> DataFrame:
     """Headed CSV reduced to the raw record's columns.
 
-    Names come from the header line, so column order and further columns do
-    not matter. Values stay text, as the load casts every column itself;
-    ``infer_types`` asks Spark for its additional typing pass.
+    Names come from each file's own header line, so column order and further
+    columns do not matter, and files may differ in both. Files of equal header
+    are one scan; finding them reads the first line of every file. Values stay
+    text, as the load casts every column itself; ``infer_types`` asks Spark for
+    its additional typing pass.
     """
-    frame = spark.read.csv(path, header=True, inferSchema=infer_types, encoding=encoding)
-    missing = [name for name in RAW_NAMES if name not in frame.columns]
-    if missing:
-        raise ValueError(f"CSV header lacks {', '.join(missing)}")
-    return frame.select(*RAW_NAMES)
+
+    def scan(files: str | list[str]) -> DataFrame:
+        return spark.read.csv(files, header=True, inferSchema=infer_types, encoding=encoding, enforceSchema=False)
+
+    listed = spark.read.format("binaryFile").load(path).select("path").collect()
+    # Spark's CSV reader passes over files whose name starts so.
+    files = [r["path"] for r in listed if not r["path"].rpartition("/")[2].startswith(("_", "."))]
+
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.csv(file, header=True, encoding=encoding).columns)
+
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = list(pool.map(header, files))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file, names in zip(files, headers):
+        if names:  # an empty file has neither names nor rows
+            by_header.setdefault(names, []).append(file)
+    for names in by_header:
+        missing = [name for name in RAW_NAMES if name not in names]
+        if missing:
+            raise ValueError(f"CSV header lacks {', '.join(missing)}")
+    if not by_header:
+        raise ValueError("no CSV file with a header")
+    parts = [scan(group).select(*RAW_NAMES) for group in by_header.values()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_csv(frame: DataFrame, path: str) -> None:

@@ -77,6 +77,17 @@ def scan_jdbc(
     return frame.toDF(*[name.lower() for name in frame.columns])
 
 
+def id_range(
+    spark: SparkSession, settings: JdbcSettings, table: str, column: str, partitions: int
+) -> JdbcRange | None:
+    """Strides over the ids a table holds now; None for an empty table."""
+    bounds = f"(SELECT min({column}) AS low, max({column}) AS high FROM {table}) bounds"
+    row = scan_jdbc(spark, settings, bounds).first()
+    if row is None or row["low"] is None:
+        return None
+    return JdbcRange(column, int(row["low"]), int(row["high"]) + 1, partitions)
+
+
 def append_jdbc(
     frame: DataFrame, settings: JdbcSettings, table: str, connections: int | None = None
 ) -> None:

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tollstats.operators.joins import broadcast_if_small
 from tollstats.schema import FLUJO_NAMES, PEAJE_SCHEMA, STATION_KEY, Tables
-from tollstats.sources.jdbc import JdbcRange, JdbcSettings, append_jdbc, scan_jdbc
+from tollstats.sources.jdbc import JdbcRange, JdbcSettings, append_jdbc, id_range, scan_jdbc
+
+SCAN_PARTITIONS = 16
 
 
 @dataclass(frozen=True)
@@ -18,8 +20,8 @@ class JdbcStore:
 
     ``assigns_ids`` says that the database numbers new stations itself (a
     serial or identity column): only their three key columns are written then.
-    ``flujo_split`` spreads scans of the fact over tasks, ``connections`` bounds
-    the writers.
+    ``flujo_split`` spreads scans of the fact over tasks; without one they are
+    spread over the range of its ids. ``connections`` bounds the writers.
     """
 
     spark: SparkSession
@@ -35,7 +37,10 @@ class JdbcStore:
         return stations.select(*PEAJE_SCHEMA.names)
 
     def flujo_peaje(self) -> DataFrame:
-        fact = scan_jdbc(self.spark, self.settings, self.flujo_table, self.flujo_split)
+        split = self.flujo_split or id_range(
+            self.spark, self.settings, self.flujo_table, "id_flujo", SCAN_PARTITIONS
+        )
+        fact = scan_jdbc(self.spark, self.settings, self.flujo_table, split)
         return fact.select(*FLUJO_NAMES)
 
     def tables(self) -> Tables:

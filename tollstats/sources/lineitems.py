@@ -8,12 +8,12 @@ that many axles, and a discount above 5 % marks the differential tariff.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from tollstats.operators.joins import broadcast_if_small
 from tollstats.schema import FLUJO_NAMES, ID_COLUMN, MEASURE_COLUMNS, STATION_COLUMNS, Tables
 
 # Counts are bigint: one busy station's month may add up billions of line items.
@@ -32,23 +32,15 @@ COUNTED = {
 DAYS = "cast(day(last_day(make_date(anio, mes, 1))) as double)"
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A given table; its schema is looked up in the files once per process."""
-    file = f"{path}/{name}.parquet"
-    if file not in _schemas:
-        _schemas[file] = spark.read.parquet(file).schema
-    return spark.read.schema(_schemas[file]).parquet(file)
+    return spark.read.parquet(f"{path}/{name}.parquet")
 
 
 def stations(spark: SparkSession, path: str) -> DataFrame:
     """One row per supplier.
 
-    Its size follows the supplier table, so joins with it carry no hint:
-    adaptive execution broadcasts it when its measured size is small and splits
-    busy stations when it is not.
+    Its size follows the supplier table: row-level joins measure it first and
+    broadcast it only while it is small.
     """
     supplier = _read(spark, path, "supplier")
     nation = _read(spark, path, "nation")
@@ -69,14 +61,14 @@ def traffic(spark: SparkSession, path: str, anio: int | None = None) -> DataFram
     """One row per station and month.
 
     ``anio`` restricts the scan by ship date, which parquet can use to skip row
-    groups; a filter on the derived year could not reach it.
+    groups; a filter on the derived year could not reach it. The bounds have
+    the column's own type, so no time zone moves them.
     """
     items = _read(spark, path, "lineitem")
     if anio is not None:
-        shipped = F.col("l_shipdate")
-        items = items.where(
-            (shipped >= F.lit(datetime(anio, 1, 1))) & (shipped < F.lit(datetime(anio + 1, 1, 1)))
-        )
+        shipped, kind = F.col("l_shipdate"), items.schema["l_shipdate"].dataType
+        first, next_year = (F.lit(date(y, 1, 1)).cast(kind) for y in (anio, anio + 1))
+        items = items.where((shipped >= first) & (shipped < next_year))
     monthly = items.groupBy(
         F.expr("l_suppkey as id_peaje"),
         F.expr("year(l_shipdate) as anio"),
@@ -102,14 +94,13 @@ def traffic_tables(spark: SparkSession, path: str, anio: int | None = None) -> T
 
 def raw_records(tables: Tables) -> DataFrame:
     """The wide record as text: fact and station attributes under the raw names."""
-    joined = tables.flujo_peaje.join(tables.peaje, "id_peaje")
+    joined = tables.flujo_peaje.join(broadcast_if_small(tables.peaje), "id_peaje")
     return joined.select(
         F.col(ID_COLUMN.name).cast("string").alias(ID_COLUMN.raw),
         *[F.col(name).alias(raw) for raw, name in STATION_COLUMNS],
         *[
-            (F.col(c.name) if c.name in ("anio", "mes") else F.col(c.name).cast("double"))
-            .cast("string")
-            .alias(c.raw)
+            # Counts come with decimals, as in the raw files.
+            (F.concat(F.col(c.name), F.lit(".0")) if c.kind == "bigint" else F.col(c.name).cast("string")).alias(c.raw)
             for c in MEASURE_COLUMNS
         ],
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,14 +12,14 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where none is configured (tests)."""
+    """The cluster's shared folder; one of our own only where none is set and one process is all."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
     return tempfile.mkdtemp(prefix="tollstats-")
 
