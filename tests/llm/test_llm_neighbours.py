@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+from collections import defaultdict
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tollstats.llm import neighbours
+from tollstats.llm.neighbours import balanced_parts, fit_router, nearest_in, nearest_neighbours
+from tollstats.llm.registry import QUERIES
+
+SCHEMA = "vec_id long, embedding array<float>, part string, parts int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, "own", 1) for i, v in rows], SCHEMA)
+
+
+def brute(rows, ask, k):
+    """All inner products, in double precision."""
+    rows = [(i, np.array(v, dtype=np.float32).astype(float)) for i, v in rows]
+    found = {}
+    for q, x in rows:
+        if ask(q):
+            scored = sorted((-sum(a * b for a, b in zip(x.tolist(), y.tolist())), i) for i, y in rows if i != q)
+            found[q] = [(i, -s) for s, i in scored[:k]]
+    return found
+
+
+def result(found):
+    got = defaultdict(list)
+    for r in sorted(found.collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append((r.vec_id, r.score))
+    return got
+
+
+def test_recall_of_the_whole_table(spark):
+    path = "/root/testdata/sf0.1"
+    table = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{path}/embeddings.parquet").collect()]
+    got = result(QUERIES["op10_neighbours"](spark, path))
+    ids, x = np.array([i for i, _ in table]), np.array([v for _, v in table], dtype=float)
+    hits = 0
+    asked = np.flatnonzero(ids % 20 == 0)
+    assert set(got) == set(ids[asked].tolist())
+    for i in asked:
+        scores = x @ x[i]
+        scores[i] = -np.inf
+        best = set(ids[np.argsort(-scores)[:20]].tolist())
+        hits += len(best & {v for v, _ in got[ids[i]]})
+        assert len(got[ids[i]]) == 20
+    assert hits / (20 * len(asked)) >= 0.9
+
+
+def test_recall_with_several_parts(spark):
+    random = np.random.default_rng(2)
+    centres = random.normal(size=(30, 16))
+    x = (centres[random.integers(0, 30, 4000)] + random.normal(size=(4000, 16)) * 0.4).astype(np.float32)
+    rows = list(enumerate(x.tolist()))
+    router = fit_router(x.astype(float), 10, 16)
+    assert len(router.bias) == 16 and router.probes < 12
+    got = result(nearest_neighbours(frame(spark, rows), F.col("vec_id") % 40 == 0, k=10, parts=16))
+    want = brute(rows, lambda i: i % 40 == 0, 10)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in w}) for q, w in want.items())
+    assert hits / (10 * len(want)) >= 0.9
+
+
+def test_parts_are_balanced():
+    random = np.random.default_rng(4)
+    x = np.concatenate([random.normal(size=(700, 8)), np.ones((300, 8))])
+    graph = nearest_in(x, x, np.arange(1000), 10)
+    sizes = np.bincount(balanced_parts(x, graph, 8, random), minlength=8)
+    assert sizes.sum() == 1000 and sizes.max() <= np.ceil(1.05 * 125)
+
+
+def test_copies_tie_in_order_of_ids_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ROW_BLOCK", 100)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 7)
+    random = np.random.default_rng(6)
+    same = random.normal(size=8).astype(np.float32).tolist()
+    rows = [(i, same if i % 3 == 0 else random.normal(size=8).astype(np.float32).tolist()) for i in range(900)]
+    got = result(nearest_neighbours(frame(spark, rows), F.col("vec_id") % 30 == 0, k=5, parts=1))
+    want = brute(rows, lambda i: i % 30 == 0, 5)
+    assert {q: [i for i, _ in g] for q, g in got.items()} == {q: [i for i, _ in w] for q, w in want.items()}
+    assert all(np.allclose([s for _, s in got[q]], [s for _, s in want[q]], atol=1e-12) for q in want)
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [1.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [None, 1.0]), (5, [nan, 1.0]),
+        (6, [inf, 1.0]), (None, [5.0, 5.0]), (7, [1.0, 2.0, 3.0]), (1, [1.0, 1.0]), (40, None), (60, [0.0, 0.0]), (8, []),
+    ]
+    ask = F.col("vec_id") % 20 == 0
+    got = result(nearest_neighbours(frame(spark, rows), ask))
+    assert got == {0: [(1, 1.0), (20, 0.0)], 20: [(1, 1.0), (0, 0.0)]}
+    assert nearest_neighbours(frame(spark, []), ask).count() == 0
+    assert nearest_neighbours(frame(spark, [(0, [1.0])]), ask).count() == 0

@@ -1,0 +1,61 @@
+"""The pipeline against plain versions of its stages, each on its own input."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+from llm_checks import edge_documents, near_classes, no_documents
+
+import corpus_pipeline
+from tollstats.llm.mixing import mix_sources
+from tollstats.llm.quality import score_quality
+from tollstats.llm.registry import QUERIES
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def windows(text):
+    w = text.split()
+    return {tuple(w[i : i + 50]) for i in range(len(w) - 49)}
+
+
+def test_stages_on_the_given_table(spark, medium):
+    docs = spark.read.parquet(f"{medium}/documents.parquet")
+    labels = spark.read.parquet(f"{medium}/labels.parquet")
+    inputs = {}
+    for name, stage in corpus_pipeline.STAGES:
+        inputs[name] = docs
+        docs = corpus_pipeline.staged(stage(spark, docs, medium), f"test-{name}")
+        assert name == "packing" or docs.columns == COLUMNS
+    accepted = {r.doc_id for r in score_quality(inputs["quality"], labels).where("predicted = 1").collect()}
+    kept = {r.doc_id: r.text for r in inputs["near_duplicates"].collect()}
+    assert set(kept) == accepted
+    classes = near_classes(list(kept.items()))
+    unique = {r.doc_id: r.text for r in inputs["substrings"].collect()}
+    assert set(unique) == set(classes.values()) and all(kept[d] == t for d, t in unique.items())
+    edited = {r.doc_id: r for r in inputs["mixing"].collect()}
+    assert set(edited) == set(unique)
+    seen = set()
+    for doc_id in sorted(edited):
+        assert not windows(edited[doc_id].text) & seen and edited[doc_id].n_chars == len(edited[doc_id].text)
+        seen |= windows(edited[doc_id].text)
+    taken = {r.doc_id: r.taken for r in mix_sources(inputs["mixing"]).collect() if r.taken}
+    mixed = Counter()
+    for r in inputs["packing"].collect():
+        mixed[r.doc_id] += len(r.text.split())
+    assert mixed == Counter(taken)
+    packed = Counter()
+    for r in docs.collect():
+        packed[r.doc_id] += r.words
+    assert packed == mixed
+    again = QUERIES["pipeline"](spark, medium)
+    assert sorted(again.collect(), key=str) == sorted(docs.collect(), key=str)
+
+
+def test_stages_on_edges_and_nothing(spark, medium):
+    for docs in (edge_documents(spark), no_documents(spark)):
+        for name, stage in corpus_pipeline.STAGES:
+            result = stage(spark, docs, medium)
+            if name != "packing":
+                assert sorted(result.columns) == sorted(docs.columns)
+            assert result.count() <= 1000

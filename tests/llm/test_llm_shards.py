@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+from llm_checks import documents, edge_documents, no_documents, words
+
+from tollstats.llm.registry import QUERIES
+from tollstats.llm.shards import assign_shards, move_shares, place_heavy
+
+
+def check(rows, texts, shards=16):
+    slots, loads = defaultdict(list), Counter()
+    for r in rows:
+        slots[r.shard].append(r.slot)
+        loads[r.shard] += r.size
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sorted((r.size, r.text_crc32) for r in rows) == sorted(
+        (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for t in texts
+    )
+    return [loads[s] for s in range(shards)]
+
+
+def test_whole_table(spark, medium):
+    frame = QUERIES["op1_shards"](spark, medium)
+    assert frame.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    rows = frame.collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{medium}/documents.parquet").collect()}
+    loads = check(rows, texts.values())
+    assert max(loads) < 1.02 * sum(loads) / 16 and min(loads) > 0.98 * sum(loads) / 16
+    together = defaultdict(set)
+    for r in rows:
+        together[texts[r.doc_id]].add(r.shard)
+    assert all(len(s) == 1 for s in together.values())
+    assert {r.law for r in rows} == {"bytes"} and {r.grown_shard for r in rows} == {None}
+
+
+def test_a_third_of_the_rows_are_copies(spark):
+    """A group of more than a shard's bytes is dealt over a few shards; sizes stay even."""
+    rows = [(i, words(i, 40) if i % 3 else words(0, 40)) for i in range(3000)]
+    found = assign_shards(documents(spark, *rows), shards=4).collect()
+    loads = check(found, [t for _, t in rows], 4)
+    assert max(loads) < 1.02 * sum(loads) / 4
+    copies = Counter(r.shard for r in found if r.doc_id % 3 == 0)
+    assert len(copies) <= 3
+
+
+def test_propagation_keeps_linked_documents_together(spark):
+    """Documents of a topic share lines; fewer links are cut than by chance (15 of 16)."""
+    rows = [(i, words(i, 30) + "\n" + words(10_000 + i % 150, 30) + "\n" + words(20_000 + i % 150, 30)) for i in range(3000)]
+    topics = defaultdict(Counter)
+    found = assign_shards(documents(spark, *rows)).collect()
+    for r in found:
+        topics[r.doc_id % 150][r.shard] += 1
+    pairs = sum(n * (n - 1) / 2 for c in topics.values() for n in c.values())
+    assert pairs / (150 * 20 * 19 / 2) > 0.5
+    loads = check(found, [t for _, t in rows])
+    assert max(loads) < 1.02 * sum(loads) / 16
+
+
+def test_helpers():
+    where, loads = place_heavy([(1, 10), (2, 9), (3, 2), (4, 1)], 2)
+    assert (where, loads) == ({1: 0, 2: 1, 3: 1, 4: 0}, [11, 11])
+    wanted = np.array([[0.0, 10.0], [4.0, 0.0]])
+    assert np.allclose(move_shares(wanted, np.array([10.0, 10.0]), np.array([10.0, 10.0])), [[0, 0.4], [1, 0]])
+    assert np.allclose(move_shares(wanted, np.array([10.0, 4.0]), np.array([10.0, 10.0])), [[0, 1.0], [1, 0]])
+
+
+def test_edges(spark):
+    frame = edge_documents(spark)
+    rows = assign_shards(frame, shards=3).collect()
+    check(rows, [r.text for r in frame.collect()], 3)
+    assert assign_shards(no_documents(spark)).collect() == []
