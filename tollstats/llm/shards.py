@@ -97,6 +97,7 @@ def propagate(
             *[F.count_if(F.col("shard") == s).cast("double").alias(f"n{s}") for s in each],
             F.count("*").alias("size"),
         )
+        counts = checkpointed(counts)  # so that the join may split a line of very many units
         votes = (
             links.join(counts, "line")
             .groupBy("unit")
