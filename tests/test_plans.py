@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from tollstats.operators import joins
 from tollstats.plans import ingest, reports
 from tollstats.schema import Tables
 from tollstats.sources.lineitems import raw_records, traffic_tables
@@ -50,7 +51,7 @@ def test_year_reaches_the_scan(spark, small):
 def test_stored_year_prunes_partitions_through_the_join(store):
     plan = physical(reports.busiest_stations(store, 1998))
     assert "PartitionFilters: [isnotnull(anio" in plan
-    assert "ReadSchema: struct<id_peaje:bigint,veh_total:int>" in plan
+    assert "ReadSchema: struct<id_peaje:bigint,veh_total:bigint>" in plan
 
 
 def test_stored_dimension_is_broadcast_by_its_file_size(store):
@@ -58,7 +59,8 @@ def test_stored_dimension_is_broadcast_by_its_file_size(store):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_large_dimension_is_shuffled_instead(spark, store):
+def test_large_dimension_is_shuffled_instead(spark, store, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -80,10 +82,10 @@ def test_top_k_needs_no_global_sort(store):
     assert "rangepartitioning" not in plan
 
 
-def test_value_counts_are_shuffled_once(spark, small):
-    plan = executed(contract.queries()["quantile_terciles"](spark, small))
-    assert plan.count("ReusedExchange") >= 1
-    assert plan.count("lineitem.parquet") == 1
+@pytest.mark.parametrize("name", ["quantile_terciles", "label_terciles", "metrics_table", "string_index"])
+def test_line_items_are_read_before_and_not_again(spark, small, name):
+    """Values, counts or features are kept once, and the result starts from there."""
+    assert "lineitem.parquet" not in executed(contract.queries()[name](spark, small))
 
 
 def test_new_stations_are_read_once(spark, small, tmp_path):
@@ -94,8 +96,15 @@ def test_new_stations_are_read_once(spark, small, tmp_path):
     assert executed(new).count("FileScan parquet") == 1
 
 
-def test_busy_station_is_split(spark):
-    """A third of the fact belongs to one station and the dimension is not broadcast."""
+def test_bound_dimension_is_measured_and_broadcast(spark, small):
+    for name in ("join_using", "fact_lookup"):
+        plan = executed(contract.queries()[name](spark, small))
+        assert "BroadcastHashJoin" in plan and plan.count("SortMergeJoin") == 0
+
+
+def test_busy_station_is_split(spark, monkeypatch):
+    """A third of the fact belongs to one station and the dimension is too large to broadcast."""
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     stations = spark.range(2000).selectExpr(
         "id as id_peaje", "concat('P', id) as nombre_peaje", "'D' as departamento", "'A' as administracion"
     )

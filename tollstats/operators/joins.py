@@ -20,10 +20,11 @@ def measured_bytes(frame: DataFrame) -> int:
     return row["bytes"] or 0
 
 
-def broadcast_if_small(frame: DataFrame, budget: int = BROADCAST_BYTES) -> DataFrame:
-    """The frame with a broadcast hint if it was measured to fit ``budget``.
+def broadcast_if_small(frame: DataFrame, budget: int | None = None) -> DataFrame:
+    """The frame with a broadcast hint if it was measured to fit ``budget`` (BROADCAST_BYTES).
 
     Otherwise it comes back without a hint: the join shuffles both sides on the
     key, and adaptive execution splits a partition that one busy key fills.
     """
-    return F.broadcast(frame) if measured_bytes(frame) <= budget else frame
+    limit = BROADCAST_BYTES if budget is None else budget
+    return F.broadcast(frame) if measured_bytes(frame) <= limit else frame
