@@ -27,7 +27,7 @@ SIMILARITY = 0.8
 # Buckets up to this size are compared pair by pair, larger ones through hubs first.
 SMALL_BUCKET = 8
 # Rows of the two blocks that meet in one task.
-ASK_BLOCK, OTHER_BLOCK = 512, 2048
+ASK_BLOCK, OTHER_BLOCK = 128, 256
 # Candidates are compared exactly if this share of short signatures agrees; at a
 # similarity of 0.8 fewer agree with a probability below 1e-8.
 LIKELY = 0.6
