@@ -62,6 +62,16 @@ def test_large_group_of_near_copies_around_the_threshold(spark):
     assert classes(documents(spark, *rows)) == near_classes(rows)
 
 
+def test_copies_that_repeat_a_passage_more_often(spark):
+    """Sets of shingles decide, so a passage repeated many times more in one of two texts hides no link."""
+    rows = []
+    for i in range(40):
+        body, line = words(900 + i, 100), words(2000 + i, 12)
+        rows.append((2 * i, "\n".join([body] + [line] * 2)))
+        rows.append((2 * i + 1, "\n".join([body] + [line] * 60)))
+    assert classes(documents(spark, *rows)) == near_classes(rows) == {i: i - i % 2 for i in range(80)}
+
+
 def test_edges(spark):
     frame = edge_documents(spark)
     rows = neardup.near_duplicates(frame).collect()

@@ -29,8 +29,16 @@ SMALL_BUCKET = 8
 # Rows of the two blocks that meet in one task.
 ASK_BLOCK, OTHER_BLOCK = 128, 256
 # Candidates are compared exactly if this share of short signatures agrees; at a
-# similarity of 0.8 fewer agree with a probability below 1e-8.
+# similarity of 0.8 fewer agree with a probability below 1e-7 (1e-4 with repeats).
 LIKELY = 0.6
+# A shingle weighs 1 and for its repeats up to this much more. The exact check
+# compares sets, and bounded weights keep the similarity of signatures near theirs.
+REPEATS_WEIGH = 1 / 16
+
+
+def shingle_weights(counts: np.ndarray) -> np.ndarray:
+    """From 1 for a single occurrence towards 1 + ``REPEATS_WEIGH`` for very many."""
+    return 1.0 + REPEATS_WEIGH * (1.0 - 1.0 / counts)
 
 
 def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -39,8 +47,8 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text in batch["text"]:
             raw = (text or "").encode()
             shingles = shingle_hashes(word_hashes(raw), SHINGLE_WORDS)
-            elements, weights = np.unique(shingles, return_counts=True)
-            kept = signature(elements, weights.astype(np.float64))
+            elements, counts = np.unique(shingles, return_counts=True)
+            kept = signature(elements, shingle_weights(counts))
             keys.append(hashlib.md5(raw).digest())
             widths.append(len(elements))
             bands.append(None if kept is None else band_hashes(kept))
@@ -252,7 +260,8 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
     id get a row each; an empty table gives an empty result.
 
     Bands are cut so that two texts of similarity 0.8 become candidates with a
-    probability of 0.9993. Buckets of candidates are first compared with hubs;
+    probability of 0.9993; where one repeats shingles that the other has once,
+    it is 0.99 at least. Buckets of candidates are first compared with hubs;
     what this leaves in different components is then compared block by block,
     so hubs save work and lose nothing.
     """
