@@ -22,8 +22,9 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 CAP = 2.0
 SEED = 1234
-# Documents of a source are ordered by 60 bits of a hash; its leading bits number 1,024 buckets.
-BUCKET_SHIFT = 50
+# Documents of a source are ordered by 60 bits of a hash. Its leading 10 bits number
+# 1,024 buckets, its leading 20 bits 1,024 parts of each of them.
+BUCKET_SHIFT, PART_SHIFT = 50, 40
 
 
 def word_count(text: Column) -> Column:
@@ -69,6 +70,34 @@ def fill_targets(
     )
 
 
+def _crossing(sums: DataFrame, extras: DataFrame) -> DataFrame:
+    """(source, bucket, skipped, extra): where each source's extra part ends, and the words ahead of it.
+
+    ``sums`` has the words of numbered buckets (source, bucket, words), ``extras``
+    the words ahead of all of them (source, skipped, extra). A source without an
+    extra part has no row.
+    """
+    ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    reached = sums.withColumn("ahead", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
+    start = F.col("skipped") + F.col("ahead")
+    crossing = (
+        reached.alias("r")
+        .join(extras.alias("e"), F.col("r.source").eqNullSafe(F.col("e.source")))
+        .where((start < F.col("extra")) & (start + F.col("words") >= F.col("extra")))
+        .select("r.source", "bucket", start.alias("skipped"), "extra")
+    )
+    return checkpointed(crossing)
+
+
+def _within(documents: DataFrame, crossing: DataFrame, shift: int) -> DataFrame:
+    """The documents in the bucket of their source in which its extra part ends."""
+    d, c = documents.alias("d"), broadcast_if_small(crossing).alias("c")
+    place = F.shiftright("d.draw", shift)
+    return d.join(
+        c, F.col("d.source").eqNullSafe(F.col("c.source")) & (place == F.col("c.bucket"))
+    ).select("d.source", "d.draw", "d.doc_id", "d.size", "c.skipped", "c.extra")
+
+
 def mix_plan(
     documents: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -82,10 +111,15 @@ def mix_plan(
     source_size, target, whole (repetitions of every document), cut and cut_id
     (the document in which the extra part ends), cut_words and cut_size (words
     still taken there, and the words there are). Sums over hash buckets find
-    the bucket of the cut; only that bucket's documents are ordered.
+    the bucket of the cut, sums over its parts the part; only that part's
+    documents, about a millionth of the source, are ordered.
     """
-    bucket = F.shiftright("draw", BUCKET_SHIFT)
-    sums = documents.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
+
+    def words_by(rows: DataFrame, shift: int) -> DataFrame:
+        bucket = F.shiftright("draw", shift).alias("bucket")
+        return rows.groupBy("source", bucket).agg(F.sum("size").alias("words"))
+
+    sums = words_by(documents, BUCKET_SHIFT)
     sizes = sums.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = (
         fill_targets(sizes, weights, share, cap)
@@ -98,24 +132,12 @@ def mix_plan(
         )
     )
     targets = checkpointed(targets)
-    by_bucket = Window.partitionBy("source").orderBy("bucket")
-    earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    reached = sums.withColumn("skipped", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
-    t, r = targets.alias("t"), reached.alias("r")
-    crossing = (
-        r.join(t, F.col("r.source").eqNullSafe(F.col("t.source")))
-        .where(F.col("skipped") < F.col("extra"))
-        .where(F.col("skipped") + F.col("words") >= F.col("extra"))
-        .select("r.source", "bucket", "skipped", "extra")
-    )
-    d, c = documents.alias("d"), broadcast_if_small(crossing).alias("c")
+    bucket = _crossing(sums, targets.select("source", F.lit(0).cast("bigint").alias("skipped"), "extra"))
+    parts = words_by(_within(documents, bucket, BUCKET_SHIFT), PART_SHIFT)
+    part = _crossing(parts, bucket.drop("bucket"))
     inside = (
-        d.join(
-            c,
-            F.col("d.source").eqNullSafe(F.col("c.source"))
-            & (F.shiftright("d.draw", BUCKET_SHIFT) == F.col("c.bucket")),
-        )
-        .groupBy("d.source", "draw", "doc_id", "skipped", "extra")
+        _within(documents, part, PART_SHIFT)
+        .groupBy("source", "draw", "doc_id", "skipped", "extra")
         .agg(F.sum("size").alias("cut_size"))
     )
     ordered = Window.partitionBy("source").orderBy("draw", F.col("doc_id").asc_nulls_last())
@@ -129,6 +151,7 @@ def mix_plan(
         .select("source", F.col("draw").alias("cut"), F.col("doc_id").alias("cut_id"), "cut_words", "cut_size")
         .alias("c")
     )
+    t = targets.alias("t")
     return t.join(cuts, F.col("t.source").eqNullSafe(F.col("c.source")), "left").select(
         "t.source", "source_size", "target", "whole", "cut", "cut_id", "cut_words", "cut_size"
     )

@@ -24,8 +24,9 @@ LINK_CHARS = 40
 HEAVY = 1 / 64
 # Equal texts stay together unless they have more than this share of a quota.
 WHOLE = 0.9
-# Running sums go over the totals of this many hash buckets of each size class.
-BUCKETS = 256
+# Running sums go over the totals of hash buckets, of this many rows on average, and
+# of this many buckets at least.
+BUCKET_ROWS, BUCKETS = 1 << 17, 256
 
 
 def _hashed(column: str, n: int, salt: int) -> Column:
