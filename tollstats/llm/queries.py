@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tollstats.llm.alignment import align_documents
 from tollstats.llm.chunks import deduplicate_substrings
 from tollstats.llm.fingerprints import neighbour_fingerprints
 from tollstats.llm.mixing import mix_sources
@@ -77,6 +78,10 @@ def op10_neighbours(spark: SparkSession, path: str) -> DataFrame:
     return nearest_neighbours(table(spark, path, "embeddings"), F.col("vec_id") % ANN_QUERIES == 0)
 
 
+def op11_alignment(spark: SparkSession, path: str) -> DataFrame:
+    return align_documents(table(spark, path, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_shards": op1_shards,
     "op2_perspectives": op2_perspectives,
@@ -88,4 +93,5 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_mixing": op9_mixing,
     "op10_neighbours": op10_neighbours,
+    "op11_alignment": op11_alignment,
 }
