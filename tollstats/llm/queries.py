@@ -12,14 +12,18 @@ from tollstats.llm.chunks import deduplicate_substrings
 from tollstats.llm.fingerprints import neighbour_fingerprints
 from tollstats.llm.mixing import mix_sources
 from tollstats.llm.neardup import near_duplicates
+from tollstats.llm.negatives import hard_negatives
 from tollstats.llm.neighbours import nearest_neighbours
 from tollstats.llm.packing import pack_documents
 from tollstats.llm.perspectives import rotate_perspectives
 from tollstats.llm.quality import score_quality
 from tollstats.llm.shards import assign_shards
+from tollstats.llm.topk import exact_top_k
 from tollstats.llm.warc import archived_pages
 
-ANN_QUERIES = 20  # every row whose id this divides
+# Queries are the rows whose id these divide.
+ANN_QUERIES, EXACT_QUERIES, ANCHORS = 20, 50, 100
+RELABELLED, LABELS = 7, 10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +86,17 @@ def op11_alignment(spark: SparkSession, path: str) -> DataFrame:
     return align_documents(table(spark, path, "documents"))
 
 
+def op12_topk(spark: SparkSession, path: str) -> DataFrame:
+    return exact_top_k(table(spark, path, "embeddings"), F.col("vec_id") % EXACT_QUERIES == 0)
+
+
+def op13_negatives(spark: SparkSession, path: str) -> DataFrame:
+    """Labels of some rows are moved on first, so that they are wrong."""
+    moved = F.when(F.col("vec_id") % RELABELLED == 0, (F.col("label") + 1) % LABELS).otherwise(F.col("label"))
+    vectors = table(spark, path, "embeddings").withColumn("label", moved)
+    return hard_negatives(vectors, F.col("vec_id") % ANCHORS == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_shards": op1_shards,
     "op2_perspectives": op2_perspectives,
@@ -94,4 +109,6 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op10_neighbours": op10_neighbours,
     "op11_alignment": op11_alignment,
+    "op12_topk": op12_topk,
+    "op13_negatives": op13_negatives,
 }
