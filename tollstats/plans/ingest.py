@@ -7,16 +7,29 @@ stored one.
 
 from __future__ import annotations
 
-from typing import Protocol
+from typing import NamedTuple, Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollstats.functions.casts import CASTS, unreadable
-from tollstats.operators.dedup import dedup_key
+from tollstats.operators.dedup import dedup_counted
 from tollstats.operators.joins import broadcast_if_small
 from tollstats.operators.surrogate import ID_BUCKETS, assign_ids
-from tollstats.schema import FLUJO_NAMES, ID_COLUMN, MEASURE_COLUMNS, STATION_COLUMNS, STATION_KEY
+from tollstats.schema import (
+    FLUJO_NAMES,
+    FLUJO_SCHEMA,
+    ID_COLUMN,
+    MALFORMED,
+    MEASURE_COLUMNS,
+    STATION_COLUMNS,
+    STATION_KEY,
+)
+from tollstats.sources.staging import ensure_checkpoint_dir, staged_table
+
+YEAR = "anio"
+# Years of a batch that are listed in the filter of the stored records.
+LISTED_YEARS = 512
 
 
 class Store(Protocol):
@@ -81,33 +94,127 @@ def fact_rejected(typed: DataFrame, peaje: DataFrame, null_safe: bool = True) ->
     return typed.join(stations, _same_key(typed, stations, null_safe), "left_anti")
 
 
-def load_rejected(raw: DataFrame, peaje: DataFrame, null_safe: bool = True) -> DataFrame:
+def whole_lines(raw: DataFrame) -> DataFrame:
+    """The raw records without the lines that a scan found malformed."""
+    return raw.where(F.col(MALFORMED).isNull()) if MALFORMED in raw.columns else raw
+
+
+def load_rejected(
+    raw: DataFrame, peaje: DataFrame, null_safe: bool = True, conflicts: DataFrame | None = None
+) -> DataFrame:
     """The raw records that are not, or not wholly, loaded, with the reasons.
 
     ``reasons`` lists the raw columns whose text cannot be read, ID also if it
     is missing, and ``station`` where no station matches. Records without an id
     or a station are not stored; others are, with nulls for what is unreadable.
+    A malformed line (see ``scan_csv``) has the single reason ``fields`` and is
+    not stored.
+
+    ``conflicts`` (see ``load_fact``) adds the reason ``duplicate`` where the
+    batch has another record of the same id that was stored instead, and
+    ``changed`` where an earlier load stored the id with other values or in
+    another year. Equal copies of a stored record are no loss and not listed.
     """
     # Raw and stored names differ in case only, which Spark does not tell apart.
-    stations = peaje.select(F.lit(True).alias("known"), *[F.col(k).alias(f"_{k}") for k in STATION_KEY]).distinct()
+    keys = [F.col(k).alias(f"_{k}") for k in STATION_KEY]
+    stations = peaje.groupBy(*keys).agg(F.min("id_peaje").alias("_station"), F.lit(True).alias("known"))
     pairs = [(F.col(raw_name), F.col(f"_{name}")) for raw_name, name in STATION_COLUMNS]
     same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
     joined = raw.join(broadcast_if_small(stations), same, "left")
-    identified = CASTS[ID_COLUMN.kind](F.col(ID_COLUMN.raw)).isNotNull()
+    number = CASTS[ID_COLUMN.kind](F.col(ID_COLUMN.raw))
     reasons = [
-        F.when(~identified, F.lit(ID_COLUMN.raw)),
+        F.when(number.isNull(), F.lit(ID_COLUMN.raw)),
         *[F.when(unreadable(F.col(c.raw), c.kind), F.lit(c.raw)) for c in MEASURE_COLUMNS],
         F.when(F.col("known").isNull(), F.lit("station")),
     ]
-    rejected = joined.withColumn("reasons", F.array_compact(F.array(*reasons)))
-    return rejected.where(F.size("reasons") > 0).select(*raw.columns, "reasons")
-
+    if conflicts is not None:
+        listed = conflicts.select(*[F.col(c).alias(f"_{c}") for c in conflicts.columns])
+        joined = joined.join(broadcast_if_small(listed), number == F.col(f"_{ID_COLUMN.name}"), "left")
+        own = _content([F.col("_station"), *[CASTS[c.kind](F.col(c.raw)) for c in MEASURE_COLUMNS]])
+        lost = F.col("known").isNotNull() & ~own.eqNullSafe(F.col("_stored"))
+        reasons.append(F.when(lost, F.col("_reason")))
+    found = F.array_compact(F.array(*reasons))
+    if MALFORMED in raw.columns:
+        found = F.when(F.col(MALFORMED).isNotNull(), F.array(F.lit("fields"))).otherwise(found)
+    return joined.withColumn("reasons", found).where(F.size("reasons") > 0).select(*raw.columns, "reasons")
+
+
+def _content(values: list[Column] | None = None) -> Column:
+    """Everything a stored record says besides its id, as one value that can be compared."""
+    names = [name for name in FLUJO_NAMES if name != ID_COLUMN.name]
+    kinds = [FLUJO_SCHEMA[name].dataType for name in names]
+    columns = values or [F.col(name) for name in names]
+    return F.struct(*[c.cast(kind).alias(name) for c, kind, name in zip(columns, kinds, names)])
+
+
+class Bounds(NamedTuple):
+    """Ids and years of a batch; ``years`` is None where there are too many to list."""
+
+    low: int
+    high: int
+    years: list[int | None] | None
+
+    def ids(self) -> Column:
+        return F.col(ID_COLUMN.name).between(self.low, self.high)
+
+    def in_years(self) -> Column:
+        if self.years is None:
+            return F.lit(True)
+        listed = F.col(YEAR).isin([y for y in self.years if y is not None])
+        listed = F.coalesce(listed, F.lit(False))
+        return listed | F.col(YEAR).isNull() if None in self.years else listed & F.col(YEAR).isNotNull()
+
+
+def batch_bounds(batch: DataFrame) -> Bounds | None:
+    """What of the stored records a batch can meet; None for a batch without ids."""
+    span = batch.agg(F.min(ID_COLUMN.name).alias("low"), F.max(ID_COLUMN.name).alias("high")).first()
+    if span["low"] is None:
+        return None
+    years = [r[YEAR] for r in batch.select(YEAR).distinct().limit(LISTED_YEARS + 1).collect()]
+    return Bounds(span["low"], span["high"], years if len(years) <= LISTED_YEARS else None)
+
+
+def fact_new(
+    fact: DataFrame, existing: DataFrame, bounds: Bounds | None = None, fixed_years: bool = False
+) -> DataFrame:
+    """Records whose id is not yet stored; one without an id is always new.
 
-def fact_new(fact: DataFrame, existing: DataFrame) -> DataFrame:
-    """Records whose id is not yet stored; one without an id is always new."""
+    With the batch's ``bounds`` only stored ids in its range are read: parquet
+    skips row groups, a database rows. ``fixed_years`` states the rule that an
+    id never moves to another year; then only the batch's years are read.
+    """
+    if bounds is not None:
+        existing = existing.where(bounds.ids() & (bounds.in_years() if fixed_years else F.lit(True)))
     return fact.join(existing.select("id_flujo"), "id_flujo", "left_anti").select(*fact.columns)
 
 
+def judged(batch: DataFrame, existing: DataFrame, bounds: Bounds, fixed_years: bool = False) -> DataFrame:
+    """The records of a batch (see ``dedup_counted``) that are new or meet a conflict.
+
+    ``stored`` is the record that stays in the store, ``reason`` null for a
+    record without conflict. Whole stored records are read of the batch's years
+    only, and of other years just the ids in its range, to find those that
+    moved; with ``fixed_years`` these are not read.
+    """
+    near = existing.where(bounds.ids() & bounds.in_years()).select(ID_COLUMN.name, _content().alias("stored"))
+    joined = batch.join(near, ID_COLUMN.name, "left").withColumn("moved", F.lit(False))
+    if not fixed_years and bounds.years is not None:
+        elsewhere = existing.where(bounds.ids() & ~bounds.in_years()).select(ID_COLUMN.name).distinct()
+        joined = joined.drop("moved").join(elsewhere.withColumn("moved", F.lit(True)), ID_COLUMN.name, "left")
+        joined = joined.fillna(False, ["moved"])
+    own, stored = _content(), F.col("stored")
+    reason = (
+        F.when(stored.isNotNull() & (F.col("differing") | ~own.eqNullSafe(stored)), "changed")
+        .when(stored.isNull() & F.col("moved"), "changed")
+        .when(stored.isNull() & F.col("differing"), "duplicate")
+    )
+    new = stored.isNull() & ~F.col("moved")
+    return (
+        joined.select(*FLUJO_NAMES, F.when(new, own).otherwise(stored).alias("stored"), reason.alias("reason"), new.alias("new"))
+        .where(F.col("new") | F.col("reason").isNotNull())
+    )
+
+
 def load_dim(store: Store, raw: DataFrame, buckets: int = ID_BUCKETS) -> None:
     """Append the stations the store lacks, numbered unless the store does that."""
     existing = store.peaje()
@@ -115,15 +222,35 @@ def load_dim(store: Store, raw: DataFrame, buckets: int = ID_BUCKETS) -> None:
     store.append_peaje(new if store.assigns_ids else number_stations(new, existing, buckets))
 
 
-def load_fact(store: Store, raw: DataFrame) -> None:
-    """Append the records the store lacks, one per id; those without an id are left out."""
-    typed = fact_typed(raw).where(F.col(ID_COLUMN.name).isNotNull())
-    fact = dedup_key(fact_lookup(typed, store.peaje()), ID_COLUMN.name)
-    store.append_flujo(fact_new(fact, store.flujo_peaje()))
+def load_fact(store: Store, raw: DataFrame, fixed_years: bool = False) -> DataFrame | None:
+    """Append the records the store lacks, one per id; those without an id are left out.
 
-
-def load(store: Store, raw: DataFrame) -> DataFrame:
-    """Load stations and records; what was left out comes back (see ``load_rejected``)."""
-    load_dim(store, raw)
-    load_fact(store, raw)
-    return load_rejected(raw, store.peaje())
+    Returns the conflicts met: the id, the record that is stored, and why others
+    of that id are not (``duplicate`` or ``changed``, see ``load_rejected``);
+    None where no record has an id. The batch is staged once, compared with
+    what is stored once, and the staged copies are removed.
+    """
+    typed = fact_typed(raw).where(F.col(ID_COLUMN.name).isNotNull())
+    batch = dedup_counted(fact_lookup(typed, store.peaje()), ID_COLUMN.name)
+    with staged_table(batch, "batch") as batch:
+        bounds = batch_bounds(batch)
+        if bounds is None:
+            return None
+        with staged_table(judged(batch, store.flujo_peaje(), bounds, fixed_years), "judged") as rows:
+            ensure_checkpoint_dir(rows.sparkSession)
+            conflicts = rows.where(F.col("reason").isNotNull()).select(ID_COLUMN.name, "stored", "reason")
+            conflicts = conflicts.dropDuplicates([ID_COLUMN.name]).checkpoint()
+            store.append_flujo(rows.where("new").select(*FLUJO_NAMES))
+    return conflicts
+
+
+def load(store: Store, raw: DataFrame, fixed_years: bool = False) -> DataFrame:
+    """Load stations and records; what was left out comes back (see ``load_rejected``).
+
+    ``fixed_years`` states that a stored id never moves to another year, so that
+    only the batch's years of the store are read.
+    """
+    records = whole_lines(raw)
+    load_dim(store, records)
+    conflicts = load_fact(store, records, fixed_years)
+    return load_rejected(raw, store.peaje(), conflicts=conflicts)

@@ -52,6 +52,9 @@ STATION_KEY = [name for _, name in STATION_COLUMNS]
 RAW_NAMES = [ID_COLUMN.raw, *(raw for raw, _ in STATION_COLUMNS), *(c.raw for c in MEASURE_COLUMNS)]
 FLUJO_NAMES = [ID_COLUMN.name, "id_peaje", *(c.name for c in MEASURE_COLUMNS)]
 
+# Of a scanned file: the whole line where it is no record.
+MALFORMED = "_malformed"
+
 RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW_NAMES])
 
 PEAJE_SCHEMA = T.StructType(

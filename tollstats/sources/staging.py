@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -32,3 +34,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/tollstats-{name}-{uuid.uuid4().hex}"
+
+
+def _store_of(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a staged table, in whichever store it lies."""
+    store, place = _store_of(spark, path)
+    store.delete(place, True)
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a staged table when the application ends, for results that still read it."""
+    store, place = _store_of(spark, path)
+    store.deleteOnExit(place)
+
+
+@contextmanager
+def staged_table(frame: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The frame written once, as compressed columns, and read from there; gone afterwards."""
+    spark = frame.sparkSession
+    path = staging_path(spark, name)
+    frame.write.parquet(path)
+    try:
+        yield spark.read.schema(frame.schema).parquet(path)
+    finally:
+        remove_path(spark, path)
