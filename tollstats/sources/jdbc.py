@@ -88,6 +88,42 @@ def id_range(
     return JdbcRange(column, int(row["low"]), int(row["high"]) + 1, partitions)
 
 
+def id_strides(
+    spark: SparkSession,
+    settings: JdbcSettings,
+    table: str,
+    bounds: JdbcRange,
+    rows_per_task: int,
+    most: int,
+) -> JdbcRange | list[str]:
+    """Scan tasks of about ``rows_per_task`` rows each, ``most`` at most.
+
+    Their number follows the rows that the database counts. Where the ids fill
+    at least half of their range, equal strides of it hold about equally many
+    rows. Elsewhere the strides end at quantiles of the ids, which the database
+    finds by cutting its ordered ids into tiles: one row per task comes back.
+    """
+    column = bounds.column
+    counted = scan_jdbc(spark, settings, f"(SELECT count({column}) AS ids FROM {table}) counted").first()
+    tasks = max(1, min(most, -(-int(counted["ids"]) // rows_per_task)))
+    if 2 * int(counted["ids"]) >= bounds.upper - bounds.lower or tasks == 1:
+        return JdbcRange(column, bounds.lower, bounds.upper, tasks)
+    tiles = f"SELECT {column}, ntile({tasks}) OVER (ORDER BY {column}) AS tile FROM {table} WHERE {column} IS NOT NULL"
+    starts = scan_jdbc(
+        spark, settings, f"(SELECT tile, min({column}) AS low FROM ({tiles}) tiles GROUP BY tile) starts"
+    ).collect()
+    return stride_predicates(column, [int(r["low"]) for r in starts])
+
+
+def stride_predicates(column: str, starts: Sequence[int]) -> list[str]:
+    """Disjoint predicates that cover a table: the first also takes missing ids and what lies before."""
+    cuts = sorted(set(starts))[1:]
+    if not cuts:
+        return ["1 = 1"]
+    between = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *between, f"{column} >= {cuts[-1]}"]
+
+
 def append_jdbc(
     frame: DataFrame, settings: JdbcSettings, table: str, connections: int | None = None
 ) -> None:

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tollstats.operators.joins import broadcast_if_small
 from tollstats.schema import FLUJO_NAMES, PEAJE_SCHEMA, STATION_KEY, Tables
-from tollstats.sources.jdbc import JdbcRange, JdbcSettings, append_jdbc, id_range, scan_jdbc
+from tollstats.sources.jdbc import JdbcRange, JdbcSettings, append_jdbc, id_range, id_strides, scan_jdbc
 
-SCAN_PARTITIONS = 16
+# Rows of one scan task, and scans at a time that the database may get.
+SCAN_ROWS, SCAN_PARTITIONS = 1_000_000, 512
 
 
 @dataclass(frozen=True)
@@ -20,8 +21,8 @@ class JdbcStore:
 
     ``assigns_ids`` says that the database numbers new stations itself (a
     serial or identity column): only their three key columns are written then.
-    ``flujo_split`` spreads scans of the fact over tasks; without one they are
-    spread over the range of its ids. ``connections`` bounds the writers.
+    ``flujo_split`` spreads scans of the fact over tasks; without one their number
+    follows its rows, and they end at quantiles of its ids (``id_strides``). ``connections`` bounds the writers.
     """
 
     spark: SparkSession
@@ -37,9 +38,12 @@ class JdbcStore:
         return stations.select(*PEAJE_SCHEMA.names)
 
     def flujo_peaje(self) -> DataFrame:
-        split = self.flujo_split or id_range(
-            self.spark, self.settings, self.flujo_table, "id_flujo", SCAN_PARTITIONS
-        )
+        split = self.flujo_split
+        if split is None:
+            bounds = id_range(self.spark, self.settings, self.flujo_table, "id_flujo", 1)
+            split = bounds and id_strides(
+                self.spark, self.settings, self.flujo_table, bounds, SCAN_ROWS, SCAN_PARTITIONS
+            )
         fact = scan_jdbc(self.spark, self.settings, self.flujo_table, split)
         return fact.select(*FLUJO_NAMES)
 
