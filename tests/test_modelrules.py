@@ -1,0 +1,165 @@
+"""The rules of fitted models agree with the models, and stop agreeing when a number is wrong."""
+
+from __future__ import annotations
+
+from types import SimpleNamespace
+
+import numpy as np
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
+
+from tollstats.operators import sampling
+from tollstats.plans import features, modelrules, models
+from tollstats.plans.modelrules import forest_column, forest_probabilities, leaf, rule_gaps, score_equations, with_rules
+from tollstats.sources.lineitems import traffic_tables
+
+def inputs():
+    return vector_to_array("features")
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return traffic_tables(spark, "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def binary(tables):
+    return models.binary_features(tables).checkpoint()
+
+
+@pytest.fixture(scope="module")
+def terciles(tables):
+    return models.tercile_features(tables).checkpoint()
+
+
+def largest_residual(train, model, classes):
+    rows = score_equations(train, modelrules.logistic_probabilities(model, inputs()), classes).collect()
+    assert {r["class"] for r in rows} == set(classes)
+    assert {r.position for r in rows} == set(range(features.vector_width(train) + 1))
+    return max(abs(r.residual) for r in rows)
+
+
+def changed(model, change):
+    """The same regression with other coefficients."""
+    matrix = change(model.coefficientMatrix.toArray().copy())
+    return SimpleNamespace(
+        coefficientMatrix=SimpleNamespace(toArray=lambda: matrix), interceptVector=model.interceptVector
+    )
+
+
+def test_score_equations_tell_a_wrong_coefficient(binary, terciles):
+    for frame, estimator, classes in ((binary, models.logistic(), [1]), (terciles, models.multinomial(), [0, 1, 2])):
+        trained, train, _ = models.fitted(frame, {"m": estimator})
+        assert largest_residual(train, trained["m"], classes) < 5e-4
+        for column in (0, 2, 3):
+            def change(matrix, column=column):
+                matrix[0, column] *= 1.01
+                return matrix
+
+            assert largest_residual(train, changed(trained["m"], change), classes) > 5e-4
+        early = {"m": estimator.copy().setMaxIter(3)}
+        assert largest_residual(train, models.fitted(frame, early)[0]["m"], classes) > 5e-4
+
+
+def test_score_equations_with_weights(spark, tables):
+    frame = models.binary_features(tables, weight_column="weight", probability=0.9)
+    assert {r.weight for r in frame.select("weight").distinct().collect()} == {1.0, 8.0}
+    random = np.random.default_rng(2)
+    rows = [(Vectors.dense(x), float(x.sum() + random.normal() > 2)) for x in random.normal(size=(2000, 3))]
+    rows = sampling.class_weights(spark.createDataFrame(rows, ["features", "label"]), "label", 1.0, 0.0)
+    p = modelrules.logistic_probabilities(models.logistic("weight").fit(rows), inputs())
+    weighted = score_equations(rows, p, [1], F.col("weight")).agg(F.max(F.abs("residual"))).first()[0]
+    plain = score_equations(rows, p, [1]).agg(F.max(F.abs("residual"))).first()[0]
+    assert weighted < 5e-4 and plain > 0.05
+
+
+def test_weights_train_the_same_model_as_copies(tables):
+    """On a label of one row in ten."""
+    frame = models.binary_features(tables, weight_column="weight", probability=0.9)
+    copies = sampling.oversample(frame, "label", 1.0, 0.0)
+    assert copies.count() > frame.count() == tables.flujo_peaje.count()
+
+    def coefficients(rows, weight_column):
+        estimator = models.logistic(weight_column).setRegParam(0.01).setStandardization(False)
+        model = estimator.setMaxIter(500).setTol(1e-12).fit(rows)
+        return [*model.coefficients.toArray(), model.intercept]
+
+    got = coefficients(frame, "weight")
+    assert got == pytest.approx(coefficients(copies, None), rel=1e-4, abs=1e-6)
+    assert got != pytest.approx(coefficients(frame, None), rel=1e-2)
+
+
+def differing(frame, model, classes):
+    return rule_gaps(with_rules(frame, model, classes)).first().differing
+
+
+def test_forward_pass_tells_a_wrong_weight(binary):
+    name = models.PERCEPTRON_NAME
+    trained, _, test = models.fitted(binary, {name: models.binary_models(binary)[name]})
+    model, scored = trained[name], trained[name].transform(test)
+    assert differing(scored, model, 2) == 0
+    weights = model.weights.toArray().copy()
+    weights[-1] += 1e-3
+    wrong = SimpleNamespace(getLayers=model.getLayers, weights=SimpleNamespace(toArray=lambda: weights))
+    ruled = scored.withColumn("rule_probability", modelrules.perceptron_probabilities(wrong, inputs()))
+    ruled = ruled.withColumn("rule_prediction", modelrules.most_probable(F.col("rule_probability")))
+    assert rule_gaps(ruled).first().differing == test.count()
+
+
+def test_forward_pass_by_hand(spark):
+    layers = [2, 3, 2]
+    random = np.random.default_rng(5)
+    weights = random.normal(size=(2 + 1) * 3 + (3 + 1) * 2)
+    model = SimpleNamespace(getLayers=lambda: layers, weights=SimpleNamespace(toArray=lambda: weights))
+    frame = spark.createDataFrame([([0.5, -2.0],), ([900.0, 900.0],)], "x array<double>")
+    got = [r.p for r in frame.select(modelrules.perceptron_probabilities(model, F.col("x")).alias("p")).collect()]
+    first, second = weights[:6].reshape(2, 3), weights[9:15].reshape(3, 2)
+    for x, p in zip(([0.5, -2.0], [900.0, 900.0]), got):
+        with np.errstate(over="ignore"):
+            hidden = 1 / (1 + np.exp(-(np.array(x) @ first + weights[6:9])))
+        out = hidden @ second + weights[15:]
+        assert p == pytest.approx(np.exp(out) / np.exp(out).sum())
+
+
+def test_node_rules_tell_a_wrong_cut(spark, terciles):
+    trained, train, test = models.fitted(terciles, {"t": models.decision_tree(), "f": models.random_forest()})
+    for model in trained.values():
+        assert differing(model.transform(test), model, 3) == 0
+    nodes = modelrules.tree_nodes(spark, trained["t"])
+    moved = nodes.withColumn("cuts", F.when(F.col("node") == 0, F.transform("cuts", lambda c: c * 1.2)).otherwise(F.col("cuts")))
+    scored = trained["t"].transform(test)
+    wrong = scored.withColumn("rule_probability", forest_probabilities(forest_column(moved), inputs(), models.TREE_DEPTH, 3))
+    wrong = wrong.withColumn("rule_prediction", modelrules.most_probable(F.col("rule_probability")))
+    assert rule_gaps(wrong).first().differing > 0
+    votes = {(r.node, float(i)): v for r in nodes.where("left < 0").collect() for i, v in enumerate(r.votes) if v}
+    for relation, right in ((nodes, True), (moved, False)):
+        counted = modelrules.leaf_counts(train, forest_column(relation), models.TREE_DEPTH).collect()
+        assert ({(r.node, r.label): r.rows for r in counted} == votes) is right
+
+
+def test_rules_of_categories_and_ties(spark):
+    nodes = spark.createDataFrame(
+        [
+            (0, 0, 0, [1.0, 3.0], True, 1, 2, [4.0, 4.0]), (0, 1, -1, [], False, -1, -1, [2.0, 2.0]),
+            (0, 2, 1, [0.5], False, 3, 4, [2.0, 2.0]), (0, 3, -1, [], False, -1, -1, [2.0, 0.0]), (0, 4, -1, [], False, -1, -1, [0.0, 2.0]),
+        ],
+        "tree int, node int, feature int, cuts array<double>, categorical boolean, left int, right int, votes array<double>",
+    )
+    rows = spark.createDataFrame([([1.0, 9.0],), ([2.0, 0.5],), ([2.0, 0.6],), ([3.0, 0.0],)], "x array<double>")
+    trees = forest_column(nodes)
+    ended = rows.select(leaf(F.col("x"), F.get(trees, F.lit(0)), 5).alias("at")).collect()
+    assert [r["at"] for r in ended] == [1, 3, 4, 1]
+    p = forest_probabilities(trees, F.col("x"), 2, 2)
+    got = rows.select(p.alias("p"), modelrules.most_probable(p).alias("c")).collect()
+    assert [(r.p, r.c) for r in got] == [([0.5, 0.5], 0.0), ([1.0, 0.0], 0.0), ([0.0, 1.0], 1.0), ([0.5, 0.5], 0.0)]
+
+
+@pytest.mark.parametrize(("zeros", "ones", "weight"), [(10, 3, 3.0), (3, 10, 1.0), (4, 0, None), (0, 4, 1.0)])
+def test_class_weights(spark, zeros, ones, weight):
+    rows = [(0.0,)] * zeros + [(1.0,)] * ones + [(2.0,)]
+    weighted = sampling.class_weights(spark.createDataFrame(rows, "label double"), "label", 1.0, 0.0)
+    got = {(r.label, r.weight) for r in weighted.collect()}
+    assert got == ({(0.0, 1.0)} if zeros else set()) | ({(1.0, weight)} if ones else set())
+    assert weighted.count() == zeros + ones

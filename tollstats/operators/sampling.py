@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollstats.functions.hashing import hash_bucket, key_text
@@ -33,6 +33,29 @@ def key_split(
     return [frame.where(side == i) for i in range(len(weights))]
 
 
+def _ratio(frame: DataFrame, label: str, minority: float, majority: float) -> Column:
+    """max(1, majority rows div minority rows), as a scalar subquery."""
+    sizes = frame.agg(
+        F.count_if(F.col(label) == minority).alias("small"), F.count_if(F.col(label) == majority).alias("large")
+    )
+    ratio = F.when(F.col("small") > 0, F.greatest(F.lit(1), F.expr("large div small"))).otherwise(1)
+    return sizes.select(ratio.cast("bigint")).scalar()
+
+
+def class_weights(
+    frame: DataFrame, label: str, minority: float, majority: float, weight_column: str = "weight"
+) -> DataFrame:
+    """Give each minority row the weight max(1, majority rows div minority rows), others 1.
+
+    For estimators that take weights this is ``oversample`` without the copies:
+    no row more is staged, shuffled or trained on. Rows of neither class are
+    left out.
+    """
+    is_minority, is_majority = F.col(label) == minority, F.col(label) == majority
+    weight = F.when(is_minority, _ratio(frame, label, minority, majority)).otherwise(1)
+    return frame.where(is_minority | is_majority).withColumn(weight_column, weight.cast("double"))
+
+
 def oversample(
     frame: DataFrame,
     label: str,
@@ -46,16 +69,8 @@ def oversample(
     explodes of bounded arrays, whatever the ratio. Rows of neither class are left out. ``copy_column`` numbers the
     copies from 1.
     """
-    is_minority = F.col(label) == minority
-    is_majority = F.col(label) == majority
-    sizes = frame.agg(
-        F.count_if(is_minority).alias("small"), F.count_if(is_majority).alias("large")
-    )
-    ratio = sizes.select(
-        F.when(F.col("small") > 0, F.greatest(F.lit(1), F.expr("large div small")))
-        .otherwise(1)
-        .cast("bigint")
-    ).scalar()
+    is_minority, is_majority = F.col(label) == minority, F.col(label) == majority
+    ratio = _ratio(frame, label, minority, majority)
     wanted = F.when(is_minority, ratio).otherwise(F.lit(1).cast("bigint"))
     name = copy_column or "_copy"
     whole = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_wanted - 1) div {COPY_BLOCK}"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tollstats.functions.scoring import binary_log_loss, multiclass_log_loss
 from tollstats.operators.evaluation import metrics_table
-from tollstats.operators.sampling import SEED, key_split, oversample
+from tollstats.operators.sampling import SEED, class_weights, key_split, oversample
 from tollstats.plans.features import (
     feature_pipeline,
     label_median,
@@ -45,8 +45,9 @@ BINARY_CLASSES = 2
 TERCILE_CLASSES = 3
 
 
-def logistic() -> LogisticRegression:
-    return LogisticRegression(maxIter=LOGISTIC_ITERATIONS)
+def logistic(weight_column: str | None = None) -> LogisticRegression:
+    estimator = LogisticRegression(maxIter=LOGISTIC_ITERATIONS)
+    return estimator.setWeightCol(weight_column) if weight_column else estimator
 
 
 def perceptron(inputs: int) -> MultilayerPerceptronClassifier:
@@ -90,14 +91,20 @@ def feature_frame(labelled: DataFrame, scale: bool = False) -> DataFrame:
     return feature_pipeline(scale).fit(rows).transform(rows)
 
 
-def binary_features(tables: Tables, scale: bool = False, balance: bool = True) -> DataFrame:
-    """Median-labelled features.
+def binary_features(
+    tables: Tables, scale: bool = False, balance: bool = True, weight_column: str | None = None, probability: float = 0.5
+) -> DataFrame:
+    """Features labelled by the median, or by another quantile.
 
     The median label leaves class 1 at least as large as class 0, so balancing
-    repeats its rows once; it acts where a label is rarer.
+    repeats its rows once; it acts where a label is rarer. With
+    ``weight_column`` balancing sets weights instead of making copies, for the
+    models that take them (``logistic``, not the perceptron).
     """
-    labelled = label_median(staged_base(tables))
-    if balance:
+    labelled = label_median(staged_base(tables), probability=probability)
+    if balance and weight_column:
+        labelled = class_weights(labelled, "label", minority=1.0, majority=0.0, weight_column=weight_column)
+    elif balance:
         labelled = oversample(labelled, "label", minority=1.0, majority=0.0)
     return feature_frame(labelled, scale)
 
@@ -121,30 +128,32 @@ def tercile_models(features: DataFrame) -> dict[str, Estimator]:
     }
 
 
-def train_and_score(
-    features: DataFrame, models: Mapping[str, Estimator], seed: int = SEED
-) -> DataFrame:
-    """Fit each model on the 80 % side and score the 20 % side, one block of rows per model.
+def fitted(features: DataFrame, models: Mapping[str, Estimator], seed: int = SEED) -> tuple[dict, DataFrame, DataFrame]:
+    """Each model fitted on the 80 % side, and both sides.
 
     All copies of a record fall on one side, so no test row was trained on.
     """
     train, test = key_split(features, ["id_flujo"], seed=seed)
+    return {name: estimator.fit(train) for name, estimator in models.items()}, train, test
+
+
+def train_and_score(
+    features: DataFrame, models: Mapping[str, Estimator], seed: int = SEED
+) -> DataFrame:
+    """Fit each model on the 80 % side and score the 20 % side, one block of rows per model."""
+    trained, _, test = fitted(features, models, seed)
     scored = None
-    for name, estimator in models.items():
-        rows = (
-            estimator.fit(train)
-            .transform(test)
-            .select(
-                F.lit(name).alias("modelo"),
-                "id_flujo",
-                "anio",
-                "mes",
-                "departamento",
-                "veh_total",
-                "label",
-                "prediction",
-                vector_to_array("probability").alias("probability"),
-            )
+    for name, model in trained.items():
+        rows = model.transform(test).select(
+            F.lit(name).alias("modelo"),
+            "id_flujo",
+            "anio",
+            "mes",
+            "departamento",
+            "veh_total",
+            "label",
+            "prediction",
+            vector_to_array("probability").alias("probability"),
         )
         scored = rows if scored is None else scored.unionByName(rows)
     return scored
