@@ -15,8 +15,11 @@ from tollstats.plans.models import (
 from tollstats.registry.queries import (
     BAD_ID_EVERY,
     BAD_TOTAL_EVERY,
+    CHANGED_EVERY,
     HEAVY_CUT,
     LOADED_BEFORE,
+    LONG_LINE_EVERY,
+    MORE_VEHICLES,
     Q2_MORE_THAN,
     Q2_YEAR,
     Q3_YEAR,
@@ -24,8 +27,10 @@ from tollstats.registry.queries import (
     Q11_YEAR,
     Q12_YEAR,
     RARE_QUANTILE,
+    REPEATED_EVERY,
     RULE,
     RULE_PROBABILITIES,
+    SHORT_LINE_EVERY,
     TERCILE_RULE,
 )
 from tollstats.schema import FLUJO_NAMES, MEASURE_COLUMNS, STATION_COLUMNS
@@ -335,6 +340,35 @@ FROM (SELECT unnest({BINARY_NAMES}) AS modelo, two_class AS label FROM both_labe
       UNION ALL SELECT unnest({TERCILE_NAMES}), three_class FROM both_labels WHERE test) m
 GROUP BY modelo, label""",
     "metrics_table": f"{_METRICS} SELECT * FROM metrics",
+    "csv_rejected": f"""SELECT CAST(id_flujo AS VARCHAR) AS "ID", 'fields' AS reasons FROM juntos
+WHERE id_flujo % {SHORT_LINE_EVERY} = 0 OR id_flujo % {LONG_LINE_EVERY} = 0""",
+    "load_conflicts": f"""SELECT id_flujo, CAST(veh_total + 1 AS BIGINT) AS veh_total, 'changed' AS reasons FROM juntos
+WHERE anio < {LOADED_BEFORE} AND id_flujo % {CHANGED_EVERY} = 0
+UNION ALL SELECT id_flujo, CAST(veh_total + {MORE_VEHICLES} AS BIGINT),
+                 CASE WHEN anio < {LOADED_BEFORE} THEN 'changed' ELSE 'duplicate' END FROM juntos
+WHERE id_flujo % {REPEATED_EVERY} = 0""",
+    "fact_new_pruned": f"SELECT {_FACT} FROM flujo_peaje WHERE anio = {LOADED_BEFORE} AND id_flujo % 2 <> 0",
+    "activity_bitmaps": _Q10,
+    "class_weights": f"""{_labelled(RARE_QUANTILE)}, sizes AS (
+  SELECT count(*) FILTER (WHERE label = 1) AS small, count(*) FILTER (WHERE label = 0) AS large FROM labelled)
+SELECT label, count(*) AS "rows",
+       CAST(count(*) * CASE WHEN label = 1 THEN greatest(1, large // small) ELSE 1 END AS DOUBLE) AS weight
+FROM labelled, sizes GROUP BY label, large, small""",
+    # At the optimum every score equation holds: for the constant, four numbers and one column per category.
+    "ml_optimality": f"""{_BASE}, width AS (
+  SELECT 5 + count(DISTINCT departamento) + count(DISTINCT administracion) AS n FROM base),
+equations AS (
+  SELECT '{LOGISTIC_NAME}' AS modelo, 1 AS class UNION ALL SELECT '{MULTINOMIAL_NAME}', unnest([0, 1, 2]))
+SELECT modelo, CAST(class AS INTEGER) AS class, CAST(position AS INTEGER) AS position, 0.0::DOUBLE AS residual
+FROM equations, (SELECT unnest(range(n)) AS position FROM width) p""",
+    "ml_tree_rules": f"""SELECT unnest({[TREE_NAME, FOREST_NAME]}) AS modelo, count(*) AS "rows", CAST(0 AS BIGINT) AS differing
+FROM flujo_peaje WHERE {_SIDE_BUCKET} >= 80""",
+    "ml_mlp_forward": f"""SELECT '{PERCEPTRON_NAME}' AS modelo, count(*) AS "rows", CAST(0 AS BIGINT) AS differing
+FROM flujo_peaje WHERE {_SIDE_BUCKET} >= 80""",
+    "ml_tree_leaves": f"""{_TERCILES} SELECT label, count(*) AS "rows", CAST(0 AS BIGINT) AS wrong
+FROM labelled WHERE {_SIDE_BUCKET} < 80 GROUP BY label""",
+    "ml_compare_rules": f"""SELECT unnest({[*BINARY_NAMES, *TERCILE_NAMES]}) AS modelo, 0.0::DOUBLE AS accuracy,
+       0.0::DOUBLE AS recall, 0.0::DOUBLE AS f1_score, 0.0::DOUBLE AS loss""",
 }
 
 ORACLE: dict[str, str] = {name: BINDING + body for name, body in _BODIES.items()}

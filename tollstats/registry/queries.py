@@ -7,22 +7,25 @@ suit the given data, and a row limit occurs only in the top-k reports.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollstats.functions.casts import CASTS, to_bigint
+from tollstats.operators import sampling
 from tollstats.operators.dedup import dedup_key
-from tollstats.operators.evaluation import confusion_matrix, metrics_table, recall_by_class
+from tollstats.operators.evaluation import METRICS, confusion_matrix, metrics_table, recall_by_class
 from tollstats.operators.quantiles import exact_quantiles
 from tollstats.operators.sampling import oversample, split_side
 from tollstats.operators.surrogate import assign_ids
-from tollstats.plans import features, ingest, models, reports, sqlreports
-from tollstats.schema import FLUJO_SCHEMA, ID_COLUMN, MEASURE_COLUMNS, RAW_NAMES, STATION_KEY, Tables
+from tollstats.plans import activity, features, ingest, modelrules, models, reports, sqlreports
+from tollstats.schema import FLUJO_SCHEMA, ID_COLUMN, MALFORMED, MEASURE_COLUMNS, RAW_NAMES, STATION_KEY, Tables
 from tollstats.sources.csv_files import scan_csv, write_csv
 from tollstats.sources.lineitems import raw_records, traffic_tables
-from tollstats.sources.parquet_store import ParquetStore
-from tollstats.sources.staging import ensure_checkpoint_dir, staging_path
+from tollstats.sources.parquet_store import ParquetStore, append_parquet
+from tollstats.sources.staging import ensure_checkpoint_dir, remove_at_exit, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +34,8 @@ Q2_YEAR, Q2_MORE_THAN = 1998, 250
 Q3_YEAR, Q8_YEAR, Q11_YEAR, Q12_YEAR = 1998, 1999, 1998, 1997
 LOADED_BEFORE = 1998
 BAD_ID_EVERY, BAD_TOTAL_EVERY = 97, 89
+SHORT_LINE_EVERY, LONG_LINE_EVERY, CSV_PARTS = 83, 79, 4
+CHANGED_EVERY, REPEATED_EVERY, MORE_VEHICLES = 97, 89, 1000
 RARE_QUANTILE = 0.9
 HEAVY_CUT = 0.85
 RULE, TERCILE_RULE = "regla", "regla de terciles"
@@ -106,6 +111,7 @@ def cast_trunc(spark: SparkSession, path: str) -> DataFrame:
 def csv_scan(spark: SparkSession, path: str) -> DataFrame:
     target = staging_path(spark, "raw-csv")
     write_csv(raw_records(traffic_tables(spark, path)), target)
+    remove_at_exit(spark, target)
     kinds = {c.raw: c.kind for c in [ID_COLUMN, *MEASURE_COLUMNS]}
     raw = scan_csv(spark, target)
     return raw.select(
@@ -113,6 +119,62 @@ def csv_scan(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def csv_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that lost fields, or have more than their header, found when the files are loaded."""
+    tables = traffic_tables(spark, path)
+    raw, number = raw_records(tables), F.col("ID").cast("bigint")
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in RAW_NAMES]
+    lines = raw.select(
+        F.pmod(F.xxhash64("ID"), F.lit(CSV_PARTS)).alias("part"),
+        F.lit(1).alias("place"),
+        F.when(number % SHORT_LINE_EVERY == 0, F.concat_ws(",", *fields[:-2]))
+        .when(number % LONG_LINE_EVERY == 0, F.concat_ws(",", *fields, F.lit("1"), F.lit("2")))
+        .otherwise(F.concat_ws(",", *fields))
+        .alias("line"),
+    )
+    headers = spark.range(CSV_PARTS).select(F.col("id").alias("part"), F.lit(0).alias("place"), F.lit(",".join(RAW_NAMES)).alias("line"))
+    target = staging_path(spark, "damaged-csv")
+    ordered = headers.unionByName(lines).repartition("part").sortWithinPartitions("part", "place")
+    ordered.select("part", "line").write.partitionBy("part").text(target)
+    remove_at_exit(spark, target)
+    rejected = ingest.load_rejected(scan_csv(spark, target, malformed=True), tables.peaje)
+    return rejected.select(F.split_part(MALFORMED, F.lit(","), F.lit(1)).alias("ID"), F.array_join("reasons", ",").alias("reasons"))
+
+
+def load_conflicts(spark: SparkSession, path: str) -> DataFrame:
+    """What a load leaves out when records changed since an earlier load, or come twice."""
+    tables = traffic_tables(spark, path)
+    root = staging_path(spark, "load-conflicts")
+    store = ParquetStore(spark, root)
+    store.append_peaje(tables.peaje)
+    remove_at_exit(spark, root)
+    store.append_flujo(_declared_fact(tables).where(F.col("anio") < LOADED_BEFORE))
+    raw, number = raw_records(tables), F.col("ID").cast("bigint")
+
+    def more(n: int) -> Column:
+        return F.concat((to_bigint(F.col("VEH_TOTAL")) + n).cast("string"), F.lit(".0"))
+
+    changed = raw.withColumn("VEH_TOTAL", F.when(number % CHANGED_EVERY == 0, more(1)).otherwise(F.col("VEH_TOTAL")))
+    repeated = raw.where(number % REPEATED_EVERY == 0).withColumn("VEH_TOTAL", more(MORE_VEHICLES))
+    rejected = ingest.load(store, changed.unionByName(repeated))
+    return rejected.select(
+        to_bigint(F.col("ID")).alias("id_flujo"),
+        to_bigint(F.col("VEH_TOTAL")).alias("veh_total"),
+        F.array_join("reasons", ",").alias("reasons"),
+    )
+
+
+def fact_new_pruned(spark: SparkSession, path: str) -> DataFrame:
+    """A year's batch against a store that holds earlier years and half of that year."""
+    tables = traffic_tables(spark, path)
+    root = staging_path(spark, "fact-new")
+    store, fact, year = ParquetStore(spark, root), _declared_fact(tables), F.col("anio")
+    store.append_flujo(fact.where((year < LOADED_BEFORE) | ((year == LOADED_BEFORE) & (F.col("id_flujo") % 2 == 0))))
+    remove_at_exit(spark, root)
+    batch = fact.where(year == LOADED_BEFORE)
+    return ingest.fact_new(batch, store.flujo_peaje(), ingest.batch_bounds(batch), fixed_years=True)
+
+
 def dim_new(tables: Tables) -> DataFrame:
     return ingest.dim_new(ingest.dim_extract(raw_records(tables)), _half_loaded(tables))
 
@@ -161,27 +223,33 @@ def dedup_by_year(tables: Tables) -> DataFrame:
 
 def load_dim(spark: SparkSession, path: str) -> DataFrame:
     tables = traffic_tables(spark, path)
-    store = ParquetStore(spark, staging_path(spark, "load-dim"))
+    root = staging_path(spark, "load-dim")
+    store = ParquetStore(spark, root)
     store.append_peaje(_half_loaded(tables))
+    remove_at_exit(spark, root)
     ingest.load_dim(store, raw_records(tables))
     return store.peaje()
 
 
 def load_fact(spark: SparkSession, path: str) -> DataFrame:
     tables = traffic_tables(spark, path)
-    store = ParquetStore(spark, staging_path(spark, "load-fact"))
+    root = staging_path(spark, "load-fact")
+    store = ParquetStore(spark, root)
     store.append_peaje(tables.peaje)
     store.append_flujo(_declared_fact(tables).where(F.col("anio") < LOADED_BEFORE))
+    remove_at_exit(spark, root)
     ingest.load_fact(store, raw_records(tables))
     return store.flujo_peaje()
 
 
 def parquet_append(spark: SparkSession, path: str) -> DataFrame:
     tables = traffic_tables(spark, path)
-    store = ParquetStore(spark, staging_path(spark, "append"))
+    root = staging_path(spark, "append")
+    store = ParquetStore(spark, root)
     fact = _declared_fact(tables)
     store.append_flujo(fact.where(F.col("anio") < LOADED_BEFORE))
     store.append_flujo(fact.where(F.col("anio") >= LOADED_BEFORE))
+    remove_at_exit(spark, root)
     return store.flujo_peaje()
 
 
@@ -369,6 +437,102 @@ def ml_scored_rows(tables: Tables) -> DataFrame:
     )
 
 
+def _by_model(rows: dict[str, DataFrame]) -> DataFrame:
+    named = [frame.select(F.lit(name).alias("modelo"), *frame.columns) for name, frame in rows.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
+def ml_optimality(tables: Tables) -> DataFrame:
+    """The score equations of both regressions on their training rows, which vanish at the optimum."""
+    residuals = {}
+    for name, frame, classes in (
+        (models.LOGISTIC_NAME, models.binary_features(tables), [1]),
+        (models.MULTINOMIAL_NAME, models.tercile_features(tables), [0, 1, 2]),
+    ):
+        chosen = {name: (models.logistic() if len(classes) == 1 else models.multinomial())}
+        trained, train, _ = models.fitted(frame, chosen)
+        probability = modelrules.logistic_probabilities(trained[name], vector_to_array("features"))
+        residuals[name] = modelrules.score_equations(train, probability, classes)
+    rounded = F.round("residual", 3) + 0.0  # no negative zero
+    return _by_model(residuals).withColumn("residual", rounded)
+
+
+def ml_tree_rules(tables: Tables) -> DataFrame:
+    """Test rows of tree and forest, and on how many the node rules say otherwise."""
+    frame = models.tercile_features(tables)
+    chosen = {n: m for n, m in models.tercile_models(frame).items() if n != models.MULTINOMIAL_NAME}
+    trained, _, test = models.fitted(frame, chosen)
+    return _by_model({name: _rule_gaps(model, test, models.TERCILE_CLASSES) for name, model in trained.items()})
+
+
+def ml_tree_leaves(tables: Tables) -> DataFrame:
+    """Training rows by label, and how many of them the tree's leaves do not count where the rules put them."""
+    frame = models.tercile_features(tables)
+    trained, train, _ = models.fitted(frame, {models.TREE_NAME: models.decision_tree()})
+    nodes = modelrules.tree_nodes(train.sparkSession, trained[models.TREE_NAME])
+    trees = modelrules.forest_column(nodes)
+    counted = modelrules.leaf_counts(train, trees, models.TREE_DEPTH)
+    votes = nodes.where("left < 0").select("node", F.posexplode("votes").alias("label", "votes"))
+    both = counted.join(votes.withColumn("label", F.col("label").cast("double")), ["node", "label"], "full").na.fill(0)
+    wrong = F.sum(F.abs(F.col("rows") - F.col("votes"))).cast("bigint").alias("wrong")
+    return both.groupBy("label").agg(F.sum("rows").alias("rows"), wrong)
+
+
+def ml_mlp_forward(tables: Tables) -> DataFrame:
+    """Test rows of the perceptron, and on how many the forward pass says otherwise."""
+    frame = models.binary_features(tables)
+    name = models.PERCEPTRON_NAME
+    trained, _, test = models.fitted(frame, {name: models.binary_models(frame)[name]})
+    return _by_model({name: _rule_gaps(trained[name], test, models.BINARY_CLASSES)})
+
+
+def _rule_gaps(model, test: DataFrame, classes: int) -> DataFrame:
+    return modelrules.rule_gaps(modelrules.with_rules(model.transform(test), model, classes))
+
+
+def ml_compare_rules(tables: Tables) -> DataFrame:
+    """By how much each metric of the two comparisons differs when the rules score instead of the models."""
+    gaps = []
+    for frame, chosen, classes in (
+        (binary := models.binary_features(tables), models.binary_models(binary), models.BINARY_CLASSES),
+        (terciles := models.tercile_features(tables), models.tercile_models(terciles), models.TERCILE_CLASSES),
+    ):
+        trained, _, test = models.fitted(frame, chosen)
+        own, ruled = [], []
+        for name, model in trained.items():
+            rows = modelrules.with_rules(model.transform(test), model, classes)
+            of_model, label = F.lit(name).alias("modelo"), F.col("label")
+            own.append(rows.select(of_model, label, "prediction", vector_to_array("probability").alias("probability")))
+            ruled.append(
+                rows.select(of_model, label, F.col("rule_prediction").alias("prediction"), F.col("rule_probability").alias("probability"))
+            )
+        a, b = (
+            metrics_table(models.with_loss(reduce(DataFrame.unionByName, side), classes)).alias(alias)
+            for side, alias in ((own, "a"), (ruled, "b"))
+        )
+        differences = [F.round(F.abs(F.col(f"a.{m}") - F.col(f"b.{m}")), 6).alias(m) for m in METRICS]
+        gaps.append(a.join(b, "modelo").select("modelo", *differences))
+    return reduce(DataFrame.unionByName, gaps)
+
+
+def class_weights(tables: Tables) -> DataFrame:
+    """Rows and summed weights by label, where weights take the place of copies."""
+    labelled = features.label_median(models.staged_base(tables), probability=RARE_QUANTILE)
+    weighted = sampling.class_weights(labelled, "label", 1.0, 0.0)
+    return weighted.groupBy("label").agg(F.count("*").alias("rows"), F.sum("weight").alias("weight"))
+
+
+def activity_bitmaps(tables: Tables) -> DataFrame:
+    """q10 from bitmaps that two loads have stored, one of each half of the months."""
+    spark = tables.peaje.sparkSession
+    path = staging_path(spark, "activity")
+    for half in (F.col("mes") % 2 == 0, F.col("mes") % 2 == 1):
+        loaded = Tables(tables.peaje, tables.flujo_peaje.where(half))
+        append_parquet(activity.station_activity(loaded), path)
+    remove_at_exit(spark, path)
+    return activity.stations_per_year(spark.read.parquet(path))
+
+
 TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "dim_extract": lambda t: ingest.dim_extract(raw_records(t)),
     "dim_new": dim_new,
@@ -416,6 +580,13 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "ml_compare_binary": models.compare_binary,
     "ml_compare_multi": models.compare_multi,
     "ml_scored_rows": ml_scored_rows,
+    "ml_optimality": ml_optimality,
+    "ml_tree_rules": ml_tree_rules,
+    "ml_tree_leaves": ml_tree_leaves,
+    "ml_mlp_forward": ml_mlp_forward,
+    "ml_compare_rules": ml_compare_rules,
+    "class_weights": class_weights,
+    "activity_bitmaps": activity_bitmaps,
 }
 
 QUERIES: dict[str, Query] = {
@@ -445,5 +616,8 @@ QUERIES: dict[str, Query] = {
     "parquet_append": parquet_append,
     "load_dim": load_dim,
     "load_fact": load_fact,
+    "csv_rejected": csv_rejected,
+    "load_conflicts": load_conflicts,
+    "fact_new_pruned": fact_new_pruned,
     **{name: _on_tables(plan) for name, plan in TABLE_QUERIES.items()},
 }
