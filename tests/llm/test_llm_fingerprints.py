@@ -1,11 +1,17 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
+import numpy as np
+import xxhash
 from llm_checks import documents, edge_documents, no_documents, words
 from pyspark.sql import functions as F
 
+from tollstats.llm import fingerprints
 from tollstats.llm.fingerprints import (
+    IDENTITY_LANES,
+    LIKENESS_LANES,
     combined,
     edited_column,
     fingerprint,
@@ -16,6 +22,7 @@ from tollstats.llm.fingerprints import (
     with_fingerprint,
 )
 from tollstats.llm.registry import QUERIES
+from tollstats.llm.tokens import BASE, mix
 
 
 def test_sums_know_no_order_but_count():
@@ -38,6 +45,36 @@ def test_long_texts_are_worked_through_in_blocks():
     assert fingerprint("\n".join(lines)) == total
 
 
+def plain_vector(text):
+    """Paragraph by paragraph and word by word."""
+    identity, counts = [0] * IDENTITY_LANES, [0] * LIKENESS_LANES
+    for line in (text or "").encode().split(b"\n"):
+        w = re.findall(rb"[^\x20\x09-\x0D]+", line)
+        if not w:
+            continue
+        digest = hashlib.shake_128(b" ".join(w)).digest(128)
+        units = [int.from_bytes(digest[:8], "little")]
+        for i in range(len(w) - 2):
+            total = 0
+            for x in w[i : i + 3]:
+                total = (total * BASE + xxhash.xxh64_intdigest(x)) % 2**64
+            units.append(int(mix(np.array([total], dtype=np.uint64))[0]))
+        for i in range(IDENTITY_LANES):
+            identity[i] = (identity[i] + int.from_bytes(digest[2 * i : 2 * i + 2], "little")) % 2**16
+        for u in units:
+            counts[u % LIKENESS_LANES] += 1 if u >> 63 else -1
+    return identity, [c % 2**32 for c in counts]
+
+
+def test_vectors_equal_a_plain_version(monkeypatch):
+    texts = [words(1, 5), "a b", "a\rb \v c\n\n d  e f\ng", "", None, "\n".join(words(i, 1 + i % 9) for i in range(60)), "漢字 é 😀 " * 9]
+    for size in (1 << 18, 16):
+        monkeypatch.setattr(fingerprints, "BLOCK_BYTES", size)
+        for text in texts:
+            vector = fingerprint(text)
+            assert (vector["identity"].tolist(), vector["likeness"].tolist()) == plain_vector(text)
+
+
 def test_likeness_follows_what_is_shared():
     a, b = words(1, 400), words(2, 400)
     half = " ".join(a.split()[:200] + b.split()[200:])

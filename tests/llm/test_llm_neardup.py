@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from llm_checks import documents, edge_documents, near_classes, no_documents, words
 
 from tollstats.llm import neardup
 from tollstats.llm.components import connected_components
 from tollstats.llm.darts import band_hashes, signature
+from tollstats.llm.fingerprints import fingerprint
 from tollstats.llm.registry import QUERIES
+from tollstats.llm.tokens import word_hashes
 
 
 def test_agreement_estimates_weighted_similarity():
@@ -72,6 +75,60 @@ def test_copies_that_repeat_a_passage_more_often(spark):
     assert classes(documents(spark, *rows)) == near_classes(rows) == {i: i - i % 2 for i in range(80)}
 
 
+def without(frame):
+    return sorted(((r.doc_id, r.text) for r in neardup.without_near_duplicates(frame).collect()), key=str)
+
+
+def test_every_class_keeps_one_document(spark):
+    """Documents without an id, ids with several texts, and repeated rows."""
+    a, b, c, d, e = (words(i, 40) for i in range(5))
+    near_a = a.rsplit(" ", 1)[0] + " other"
+    rows = [
+        (1, a), (None, b), (None, None), (None, ""), (3, c), (3, c), (None, near_a), (None, b), (5, d), (5, e), (7, e), (2, near_a), (None, c),
+    ]
+    frame = documents(spark, *rows)
+    got = [(r.doc_id, r.class_id, r.equal_id) for r in neardup.near_duplicates(frame).collect()]
+    assert sorted(got, key=str) == sorted([
+        (1, 1, 1), (None, None, None), (None, None, None), (None, None, None), (3, 3, 3), (3, 3, 3), (None, 1, 2), (None, None, None),
+        (5, 5, 5), (5, 5, 5), (7, 5, 5), (2, 1, 2), (None, 3, 3),
+    ], key=str)
+    kept = without(frame)
+    empty = [t for i, t in kept if i is None and not t]
+    assert len(empty) == 1  # null and empty texts are equal
+    assert [k for k in kept if k[1]] == sorted([(1, a), (3, c), (None, b), (5, d), (5, e)], key=str)
+    assert without(frame.repartition(5)) == kept
+
+
+def test_repeated_rows_of_one_id(spark):
+    """A hundred thousand rows of one id: half of them one text, the others two."""
+    frame = spark.range(100_000).selectExpr(
+        "cast(if(id % 7 = 0, null, 4) as long) as doc_id",
+        f"case when id % 2 = 0 then '{words(1, 30)}' when id % 3 = 0 then '{words(2, 30)}' else 'short' end as text",
+        "'en' as lang", "cast(id % 5 as string) as source", "id as n_chars",
+    )
+    assert without(frame) == sorted([(4, words(1, 30)), (4, words(2, 30)), (4, "short")])
+
+
+def test_links_of_a_block_are_fewer_than_components(spark):
+    texts = [words(3, 60) + f" x{i}" for i in range(50)]
+    block = pd.DataFrame({"node": [bytes([i]) for i in range(50)], "text": texts})
+    block["own"] = block["node"]
+    found = neardup._compare_blocks(block, block, 0.8)
+    assert len(found) == 49 and set(found["a"]) | set(found["b"]) == set(block["node"])
+
+
+def test_periodic_words_and_texts_are_told_apart():
+    """Thue-Morse words and their complements, which polynomials modulo powers of two confuse."""
+    for n in (1024, 2048, 4096):
+        bits = [bin(i).count("1") % 2 for i in range(n)]
+        one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+        assert word_hashes(one) != word_hashes(two)
+        one, two = (" ".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+        assert fingerprint(one)["identity"].tolist() != fingerprint(two)["identity"].tolist()
+        tail = words(1, 6)
+        assert neardup.jaccard(pd.Series([f"{one} {tail}"]), pd.Series([f"{two} {tail}"]))[0] < 1
+
+
 def test_edges(spark):
     frame = edge_documents(spark)
     rows = neardup.near_duplicates(frame).collect()

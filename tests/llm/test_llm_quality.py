@@ -76,3 +76,16 @@ def test_edges(spark):
     assert quality.score_quality(no_documents(spark), labels).count() == 0
     kept = quality.accepted_documents(documents(spark, (1, "a"), (2, None)), none)
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"] and kept.count() == 2
+
+
+def test_the_sample_is_bounded_and_taken_among_present_documents(spark, monkeypatch):
+    """Repeated ids, ids with several texts, and labels of documents that are elsewhere."""
+    repeated = spark.range(100_000).selectExpr("cast(3 as long) as doc_id", f"if(id % 2 = 0, '{words(1, 20)}', '{words(2, 20)}') as text")
+    others = spark.range(100, 160).selectExpr("id as doc_id", "concat('some words of ', id) as text")
+    labels = spark.range(0, 5000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality", "0 as toxic")
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda rows, own: fitted.append((len(rows), len(own))))
+    for bound in (5, 40, 8000):
+        quality.fit_quality(repeated.unionByName(others), labels, rows=bound)
+    inside = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in [3, *range(100, 160)])
+    assert fitted == [(5, 5), (40, 40), (inside, inside)]

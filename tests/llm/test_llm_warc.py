@@ -102,3 +102,23 @@ def test_null_ids_and_repeated_rows(spark):
         ("3", "response", None), ("3", "response", None), ("None", "response", None),
     ]
     assert warc.archived_pages(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_read_back_is_dealt_over_tasks(spark, small, monkeypatch):
+    """As many tasks as the bytes need, which adaptive execution does not merge."""
+    pages = spark.read.parquet(f"{small}/pages.parquet").repartition(8)
+    tasks = []
+    for size in (1 << 30, 10_000, 1_000):
+        monkeypatch.setattr(warc, "TASK_BYTES", size)
+        held = [len(x) for x in warc.archived_pages(pages).select("page_id").rdd.glom().collect()]
+        assert sum(held) == pages.count()
+        tasks.append(len(held))
+    assert tasks[0] == 1 < tasks[1] < tasks[2] / 5
+    assert sum(h > 0 for h in held) > 1
+
+
+def test_stores_are_named_or_refused(spark, monkeypatch):
+    assert warc.store_uri(spark, "/tmp/x") == warc.store_uri(spark, "file:/tmp/x") == "file:///tmp/x"
+    monkeypatch.delitem(warc.STORES, "file")
+    with pytest.raises(ValueError, match="cannot be written to file: stores"):
+        warc.store_uri(spark, "/tmp/x")

@@ -6,8 +6,8 @@ fingerprint is the sum of these vectors modulo powers of two. Sums do not know
 an order, so rearranged paragraphs give the same fingerprint, and a paragraph
 is inserted or deleted by adding or subtracting its vector.
 
-A vector has two parts. ``IDENTITY_LANES`` pseudo-random numbers modulo 2^16
-from the whole paragraph decide equality. ``LIKENESS_LANES`` numbers modulo
+A vector has two parts. ``IDENTITY_LANES`` numbers modulo 2^16, all from one
+SHAKE-128 digest of the whole paragraph, decide equality. ``LIKENESS_LANES`` numbers modulo
 2^32 sum a signed unit for the paragraph and for each of its runs of three
 words; as expected inner products count shared runs, their cosine estimates how
 alike two documents are.
@@ -18,6 +18,8 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from hashlib import shake_128
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,12 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollstats.llm.shipping import ship_package
-from tollstats.llm.tokens import BASE, INVERSE, line_words, mix, powers
+from tollstats.llm.tokens import BLOCK_BYTES, shingle_hashes, word_hashes
 
 IDENTITY_LANES = 64
 LIKENESS_LANES = 256
 RUN_WORDS = 3
-PARAGRAPH_BLOCK = 4096
 # About this many documents meet in one bucket of neighbouring ids.
 BUCKET_ROWS = 500
 MAX_BUCKETS = 4096
@@ -43,34 +44,40 @@ VECTOR = np.dtype(_KINDS)
 def fingerprint(text: str | None) -> np.ndarray:
     """The vector of a whole text; a text without words has the zero vector."""
     vector = np.zeros((), dtype=VECTOR)
-    words, lines = line_words(text)
-    if not len(words):
-        return vector
-    starts = np.flatnonzero(np.diff(lines, prepend=-1))
-    ends = np.append(starts[1:], len(words))
-    sums = np.zeros(len(words) + 1, dtype=np.uint64)
-    np.cumsum(words * powers(BASE, len(words))[: len(words)], out=sums[1:])
-    paragraphs = mix((sums[ends] - sums[starts]) * powers(INVERSE, len(sums))[starts])
-    lanes = mix(np.arange(1, IDENTITY_LANES // 4 + 1, dtype=np.uint64))
-    for at in range(0, len(paragraphs), PARAGRAPH_BLOCK):
-        block = paragraphs[at : at + PARAGRAPH_BLOCK]
-        wide = mix(block[:, None] ^ lanes[None, :]).view("<u2")
+    counts = np.zeros(LIKENESS_LANES)
+    for lines in _line_blocks((text or "").encode()):
+        words = [split for line in lines if (split := line.split())]
+        if not words:
+            continue
+        # One digest as wide as all lanes together: each lane has bits of its own.
+        wide = np.frombuffer(
+            b"".join(shake_128(b" ".join(w)).digest(2 * IDENTITY_LANES) for w in words), dtype="<u2"
+        ).reshape(-1, IDENTITY_LANES)
         vector["identity"] += wide.sum(axis=0, dtype=np.uint16)
-    found = [paragraphs]
-    if len(words) >= RUN_WORDS:
-        last = len(words) - RUN_WORDS + 1
-        runs = np.zeros(last, dtype=np.uint64)
-        for i in range(RUN_WORDS):
-            runs = runs * np.uint64(BASE) + words[i : i + last]
-        found.append(mix(runs[lines[:last] == lines[RUN_WORDS - 1 :]]))
-    units = np.concatenate(found)
-    lane = (units % np.uint64(LIKENESS_LANES)).astype(np.int64)
-    sign = np.where(units >> np.uint64(63), 1.0, -1.0)
-    counts = np.bincount(lane, weights=sign, minlength=LIKENESS_LANES)
+        found = [np.ascontiguousarray(wide[:, :4]).view("<u8")[:, 0]]
+        hashes = word_hashes(b" ".join(chain.from_iterable(words)))
+        if len(hashes) >= RUN_WORDS:
+            last = len(hashes) - RUN_WORDS + 1
+            line = np.repeat(np.arange(len(words)), [len(w) for w in words])
+            runs = shingle_hashes(hashes, RUN_WORDS)
+            found.append(runs[line[:last] == line[RUN_WORDS - 1 :]])
+        units = np.concatenate(found)
+        sign = np.where(units >> np.uint64(63), 1.0, -1.0)
+        counts += np.bincount((units % np.uint64(LIKENESS_LANES)).astype(np.int64), weights=sign, minlength=LIKENESS_LANES)
     vector["likeness"] = counts.astype(np.int64).astype(np.uint32)
     return vector
 
 
+def _line_blocks(raw: bytes) -> Iterator[list[bytes]]:
+    """The lines, in blocks of about BLOCK_BYTES: memory follows the longest line, not the text."""
+    at = 0
+    while at < len(raw):
+        stop = raw.find(b"\n", at + BLOCK_BYTES)
+        stop = len(raw) if stop < 0 else stop
+        yield raw[at:stop].split(b"\n")
+        at = stop + 1
+
+
 def combined(base: np.ndarray, change: np.ndarray, times: int = 1) -> np.ndarray:
     """``base`` with the paragraphs of ``change`` inserted (times=1) or deleted (times=-1)."""
     result = base.copy()

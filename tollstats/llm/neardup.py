@@ -1,6 +1,6 @@
 """Near-duplicate classes of documents by dart signatures and an exact check.
 
-Documents of equal text are one node. Nodes whose signatures agree in a whole
+Documents of equal text are one node, named by the MD5 of the text. Nodes whose signatures agree in a whole
 band of coordinates are candidates; candidates are linked if their sets of word
 shingles are at least ``SIMILARITY`` alike, and classes are the connected
 components of the links.
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -43,18 +44,18 @@ def shingle_weights(counts: np.ndarray) -> np.ndarray:
 
 def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        keys, bands, short, widths = [], [], [], []
+        nodes, bands, short, widths = [], [], [], []
         for text in batch["text"]:
             raw = (text or "").encode()
             shingles = shingle_hashes(word_hashes(raw), SHINGLE_WORDS)
             elements, counts = np.unique(shingles, return_counts=True)
             kept = signature(elements, shingle_weights(counts))
-            keys.append(hashlib.md5(raw).digest())
+            nodes.append(hashlib.md5(raw).digest())
             widths.append(len(elements))
             bands.append(None if kept is None else band_hashes(kept))
             short.append(None if kept is None else short_signature(kept))
         ids = batch["doc_id"].astype("Int64")
-        yield pd.DataFrame({"doc_id": ids, "key": keys, "bands": bands, "short": short, "width": widths})
+        yield pd.DataFrame({"doc_id": ids, "node": nodes, "bands": bands, "short": short, "width": widths})
 
 
 def _shingle_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -62,7 +63,7 @@ def _shingle_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for node, text in zip(batch["node"], batch["text"]):
             found = np.unique(shingle_hashes(word_hashes(text), SHINGLE_WORDS))
-            yield pd.DataFrame({"shingle": found.view(np.int64), "node": np.full(len(found), node)})
+            yield pd.DataFrame({"shingle": found.view(np.int64), "node": [node] * len(found)})
 
 
 def _likely(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -107,8 +108,8 @@ def _members(nodes: DataFrame) -> DataFrame:
     hubs = (
         shared.join(known, "node")
         .groupBy("band")
-        .agg(F.max(F.struct("companions", (-F.col("node")).alias("low"))).alias("best"))
-        .select("band", (-F.col("best.low")).alias("hub"))
+        .agg(F.min(F.struct(-F.col("companions"), "node")).alias("best"))
+        .select("band", F.col("best.node").alias("hub"))
     )
     return checkpointed(shared.join(hubs, "band"))
 
@@ -127,23 +128,38 @@ def _first_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-def _texts(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, key, text) of the documents that stand for the given nodes (node)."""
-    wanted = broadcast_if_small(checkpointed(nodes.select(F.col("node").alias("doc_id"))))
-    return (
-        texts.select("doc_id", "text")
-        .join(wanted, "doc_id", "left_semi")
-        .select(F.col("doc_id").alias("node"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key"), "text")
-    )
+def _node(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def _texts(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, text) of the given nodes (node), once each.
+
+    A text is taken from the document of its smallest id only, so of a text
+    that a third of all documents have, few rows are read further.
+    """
+    chosen = nodes.select("node", "equal_id").join(wanted, "node", "left_semi")
+    chosen = broadcast_if_small(checkpointed(chosen))
+    found = texts.select("doc_id", "text", _node(F.col("text")).alias("found"))
+    same = (F.col("found") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("equal_id"))
+    return found.join(chosen, same).groupBy("node").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
 
 
 def _compare_blocks(asks: pd.DataFrame, others: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Links between the rows of two blocks that are in different components.
+    """Links between the rows of two blocks that join different components.
 
     The shingles of one block form an inverted list; each row of the other
-    counts its common shingles with all of them at once.
+    counts its common shingles with all of them at once. A link between
+    components that earlier links of the blocks have joined already is left
+    out, so fewer links than components leave the task, not all pairs.
     """
-    links = []
+    links, parent = [], {}
+
+    def root(component):
+        while component in parent:
+            component = parent[component]
+        return component
+
     if len(asks) and len(others):
         sets = [np.unique(shingle_hashes(word_hashes(t), SHINGLE_WORDS)) for t in others["text"]]
         widths = np.array([len(s) for s in sets])
@@ -158,8 +174,12 @@ def _compare_blocks(asks: pd.DataFrame, others: pd.DataFrame, similarity: float)
             places = np.arange(runs.sum()) + np.repeat(start - (np.cumsum(runs) - runs), runs)
             shared = np.bincount(owners[places], minlength=len(sets))
             alike = (shared >= similarity * (len(mine) + widths - shared)) & (own != component)
-            links.extend((min(node, n), max(node, n)) for n in nodes[alike])
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+            for other, of in zip(nodes[alike], own[alike]):
+                mine_now, theirs = root(component), root(of)
+                if mine_now != theirs:
+                    parent[theirs] = mine_now
+                    links.append((min(node, other), max(node, other)))
+    return pd.DataFrame(links, columns=["a", "b"], dtype=object)
 
 
 def _rest_links(
@@ -186,10 +206,9 @@ def _rest_links(
     placed = checkpointed(placed.select("hub", "node", "own", "apart"))
     opened = checkpointed(placed.join(placed.where("apart").select("hub").distinct(), "hub", "left_semi"))
 
-    kept = nodes.select("node", "key", "width")
-    wanted = _texts(opened.select("node").distinct(), texts).join(kept, ["node", "key"])
-    wanted = staged(wanted.select("node", "width", "text").dropDuplicates(["node"]), "texts")
-    shingles = wanted.mapInPandas(_shingle_rows, "shingle long, node long")
+    wanted = _texts(opened.select("node").distinct(), nodes, texts).join(nodes.select("node", "width"), "node")
+    wanted = staged(wanted, "texts")
+    shingles = wanted.select("node", "text").mapInPandas(_shingle_rows, "shingle long, node binary")
     common = shingles.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     of_node = shingles.join(common, "shingle", "left_semi").groupBy("node").agg(F.count("*").alias("common"))
     able = (
@@ -220,7 +239,7 @@ def _rest_links(
     found = (
         asks.groupBy(*keys)
         .cogroup(others.groupBy(*keys))
-        .applyInPandas(lambda x, y: _compare_blocks(x, y, similarity), "a long, b long")
+        .applyInPandas(lambda x, y: _compare_blocks(x, y, similarity), "a binary, b binary")
     )
     return checkpointed(found.distinct())
 
@@ -228,76 +247,98 @@ def _rest_links(
 def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose shingle sets are alike enough."""
     alike, measured = F.pandas_udf(_likely, "boolean"), F.pandas_udf(jaccard, "double")
-    short = nodes.select("node", "key", "short")
-    left = short.select(F.col("node").alias("a"), F.col("key").alias("key_a"), F.col("short").alias("short_a"))
-    right = short.select(F.col("node").alias("b"), F.col("key").alias("key_b"), F.col("short").alias("short_b"))
+    left = nodes.select(F.col("node").alias("a"), F.col("short").alias("short_a"))
+    right = nodes.select(F.col("node").alias("b"), F.col("short").alias("short_b"))
     likely = checkpointed(
-        pairs.join(left, "a")
-        .join(right, "b")
-        .where(alike("short_a", "short_b"))
-        .select("a", "b", "key_a", "key_b")
-    )
-    needed = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = _texts(needed, texts)
-    first = wanted.select(F.col("node").alias("a"), F.col("key").alias("key_a"), F.col("text").alias("text_a"))
-    second = wanted.select(F.col("node").alias("b"), F.col("key").alias("key_b"), F.col("text").alias("text_b"))
-    return checkpointed(
-        likely.join(first, ["a", "key_a"])
-        .join(second, ["b", "key_b"])
-        .where(measured("text_a", "text_b") >= similarity)
-        .select("a", "b")
-        .distinct()
+        pairs.join(left, "a").join(right, "b").where(alike("short_a", "short_b")).select("a", "b")
     )
+    wanted = staged(_texts(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, texts), "texts")
+    first = wanted.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    second = wanted.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    measure = measured("text_a", "text_b") >= similarity
+    return checkpointed(likely.join(first, "a").join(second, "b").where(measure).select("a", "b"))
 
 
-def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id (the smallest doc_id of the class) and equal_id (that of the equal texts).
+class Classes(NamedTuple):
+    """``rows``: doc_id and node of every document. ``nodes``: node, equal_id, component, class_id of every text."""
 
-    ``documents`` needs doc_id and text; further columns are ignored. A null
-    text is empty, and documents without words are alike only if equal. Rows
-    with a null id belong to the class of their equal texts and represent none;
-    where all of those lack an id, both classes are null. Repeated rows of an
-    id get a row each; an empty table gives an empty result.
+    rows: DataFrame
+    nodes: DataFrame
 
-    Bands are cut so that two texts of similarity 0.8 become candidates with a
-    probability of 0.9993; where one repeats shingles that the other has once,
-    it is 0.99 at least. Buckets of candidates are first compared with hubs;
-    what this leaves in different components is then compared block by block,
-    so hubs save work and lose nothing.
-    """
+
+def classified(documents: DataFrame, similarity: float = SIMILARITY) -> Classes:
+    """The near-duplicate classes of the documents' texts (see ``near_duplicates``)."""
     ship_package(documents.sparkSession)
     sketches = staged(
         documents.select("doc_id", "text").mapInPandas(
-            _signatures, "doc_id long, key binary, bands array<long>, short binary, width int"
+            _signatures, "doc_id long, node binary, bands array<long>, short binary, width int"
         ),
         "sketches",
     )
-    classes = sketches.groupBy("key").agg(F.min("doc_id").alias("equal_id"))
-    classes = checkpointed(classes)
-    chosen = classes.select("key", F.col("equal_id").alias("doc_id"))
-    nodes = checkpointed(
-        sketches.where(F.col("bands").isNotNull())
-        .join(chosen, ["key", "doc_id"])
-        .withColumnRenamed("doc_id", "node")
+    # Equal texts have equal sketches, so any row of a node stands for all.
+    texts = checkpointed(
+        sketches.groupBy("node").agg(
+            F.min("doc_id").alias("equal_id"), *[F.first(c).alias(c) for c in ("bands", "short", "width")]
+        )
     )
+    nodes = texts.where(F.col("bands").isNotNull())
     members = _members(nodes)
     links = _links(_first_pairs(members), nodes, documents, similarity)
     labels = connected_components(links)
     more = _rest_links(members, labels, nodes, documents, similarity)
     if not more.isEmpty():
         labels = connected_components(links.unionByName(more))
-    named = classes.join(labels.withColumnRenamed("node", "equal_id"), "equal_id", "left").select(
-        "key", "equal_id", F.coalesce("component", "equal_id").alias("class_id")
-    )
-    return sketches.select("doc_id", "key").join(named, "key").select("doc_id", "class_id", "equal_id")
+    known = texts.select("node", "equal_id").join(labels, "node", "left")
+    known = checkpointed(known.withColumn("component", F.coalesce("component", "node")))
+    named = known.groupBy("component").agg(F.min("equal_id").alias("class_id"), F.count("*").alias("texts"))
+    # Most components are one text, whose class needs no join.
+    several = broadcast_if_small(checkpointed(named.where(F.col("texts") > 1).drop("texts")))
+    of_class = F.coalesce("class_id", "equal_id").alias("class_id")
+    joined = known.join(several, "component", "left").select("node", "equal_id", "component", of_class)
+    return Classes(sketches.select("doc_id", "node"), joined)
+
+
+def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id (the smallest doc_id of the class) and equal_id (that of the equal texts).
+
+    ``documents`` needs doc_id and text; further columns are ignored. A null
+    text is empty, and documents without words are alike only if equal. Rows
+    with a null id belong to the class of their text like any other; an id of
+    null is given only where all texts of the class, or all equal texts, lack
+    one. An id with several texts belongs to the classes of all of them.
+    Repeated rows of an id get a row each; an empty table gives an empty result.
+
+    Bands are cut so that two texts of similarity 0.8 become candidates with a
+    probability of 0.9993; where one repeats shingles that the other has once,
+    it is 0.99 at least. Buckets of candidates are first compared with hubs;
+    what this leaves in different components is then compared block by block,
+    so hubs save work and lose nothing.
+    """
+    classes = classified(documents, similarity)
+    return classes.rows.join(classes.nodes, "node").select("doc_id", "class_id", "equal_id")
 
 
 def without_near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents that represent their class, with all their columns.
+    """One document of each class, with all its columns.
 
-    Of each class the document of the smallest id stays. Documents without an
-    id stay if no document with an id has their text, once for each such text.
+    It is the one of the smallest id, a missing id being larger than any, and
+    of the smallest text digest where that id has several texts of the class.
+    Classes whose documents all lack an id keep one as well. Of repeated rows
+    of that id and text one stays, chosen by a hash of all columns.
     """
-    classes = near_duplicates(documents, similarity)
-    kept = classes.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    return documents.join(broadcast_if_small(checkpointed(kept)), "doc_id", "left_semi")
+    classes = classified(documents, similarity)
+    order = F.struct(F.col("equal_id").isNull(), "equal_id", "node")
+    chosen = classes.nodes.groupBy("component").agg(F.min(order).alias("best")).select("best.equal_id", "best.node")
+    copies = classes.rows.groupBy("doc_id", "node").agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
+    same = F.col("equal_id").eqNullSafe(F.col("doc_id")) & (F.col("chosen") == F.col("node"))
+    several = chosen.withColumnRenamed("node", "chosen").join(copies, same, "left")
+    marked = several.select(
+        F.col("equal_id").alias("_id"), F.col("chosen").alias("_node"), F.col("copies").isNotNull().alias("_several")
+    )
+    rows = documents.withColumn("_text_node", _node(F.col("text")))
+    here = (F.col("_text_node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    found = rows.join(broadcast_if_small(checkpointed(marked)), here)
+    names = documents.columns
+    repeated = found.where("_several").groupBy("_text_node", "_id")
+    smallest = F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row")
+    return found.where(~F.col("_several")).select(*names).unionByName(repeated.agg(smallest).select("row.*"))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollstats.llm.shipping import ship_package
+from tollstats.llm.staging import checkpointed
 from tollstats.llm.tokens import BASE, mix, word_hashes
 
 # At most this many labelled documents are fitted on, chosen by a hash of their id.
@@ -142,19 +143,26 @@ def held_out(doc_id: Column) -> Column:
 def fit_quality(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> QualityModel:
     """Fit on at most ``rows`` labelled documents outside the held-out fold.
 
-    An id labelled both ways counts as 0. The sample is the ids with the
-    smallest hashes; the executors turn its texts into feature numbers, and
-    those come to the driver.
+    An id labelled both ways counts as 0. The sample is taken among the
+    labelled ids that have a document: those with the smallest hashes. Of an id
+    with several texts one is fitted on, that of the smallest hash. The
+    executors turn the sampled texts into feature numbers, and those, ``rows``
+    at most, come to the driver.
     """
     ship_package(documents.sparkSession)
-    sample = (
+    labelled = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
         .where(~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
     )
+    place, text_hash = F.xxhash64("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))
+    present = documents.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(text_hash).alias("chosen"))
+    known = checkpointed(labelled.join(present, "doc_id").withColumn("place", place))
+    # Of n even hashes about so many lie below the limit: enough of them, and few more.
+    share = min(1.0, (rows + 6 * rows**0.5) / max(known.count(), 1))
+    limit = int(-(2**63) + share * (2**64 - 1))
+    sample = known.where(F.col("place") <= min(limit, 2**63 - 1)).orderBy("place", "doc_id").limit(rows)
 
     def features(batches):
         mark = np.zeros(1 << FEATURE_BITS, dtype=np.int32)
@@ -162,10 +170,11 @@ def fit_quality(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -
             ids = [np.sort(indicators(t, mark)).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], "ids": ids})
 
-    # The sample has at most `rows` rows of two numbers.
-    texts = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    found = texts.mapInPandas(features, "doc_id long, quality int, ids binary").collect()
-    found.sort(key=lambda r: (r["doc_id"], bytes(r["ids"])))
+    # The sample has at most `rows` rows of three numbers.
+    texts = documents.select("doc_id", "text").join(F.broadcast(sample.drop("place")), "doc_id").where(text_hash == F.col("chosen"))
+    once = texts.groupBy("doc_id", "quality").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    found = once.mapInPandas(features, "doc_id long, quality int, ids binary").collect()
+    found.sort(key=lambda r: r["doc_id"])
     numbers = [np.frombuffer(r["ids"], dtype=np.int32) for r in found]
     return fit(numbers, np.array([r["quality"] for r in found], dtype=np.int64))
 

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollstats.llm.shipping import ship_package
+from tollstats.llm.staging import checkpointed
 from tollstats.sources.staging import staging_path
 
 # Names and formats of the packaging and of WARC 1.1.
@@ -42,6 +43,10 @@ SMALL_LIMIT, LARGE_LIMIT = 0xFFFF, 0xFFFFFFFF
 ARCHIVE_BYTES = 16 << 20
 # Neighbouring records of up to so many bytes are read as one range.
 RANGE_BYTES = 4 << 20
+# Of the archives, what one task reads.
+TASK_BYTES = 16 << 20
+# Schemes of Spark's stores, and what the tasks' readers call them.
+STORES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
 GZIP_LEVEL = 1
 CAPTURE_DATE = "2024-01-01T00:00:00Z"
 
@@ -272,8 +277,8 @@ def record_ranges(manifest: DataFrame) -> DataFrame:
 def read_records(manifest: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to and payload of every record.
 
-    Indexes are read first; the byte ranges they give are dealt over all tasks
-    and read one by one. A response's payload is checked against its digest; a
+    Indexes are read first; the byte ranges they give are dealt over tasks of
+    about TASK_BYTES each and read one by one. A response's payload is checked against its digest; a
     revisit has none, and its payload_bytes and payload_digest are those its
     header states of the full payload.
     """
@@ -290,8 +295,11 @@ def read_records(manifest: DataFrame) -> DataFrame:
                 done = pd.DataFrame(rows, columns=_RESULT)
                 yield done.astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    ranges = record_ranges(manifest).repartition("uri", "start")
-    return ranges.mapInPandas(
+    ranges = checkpointed(record_ranges(manifest))
+    total = ranges.agg(F.sum(F.col("stop") - F.col("start"))).first()[0] or 0
+    # A number of its own keeps adaptive execution from merging these small rows into one task.
+    dealt = ranges.repartition(max(1, -(-total // TASK_BYTES)), "uri", "start")
+    return dealt.mapInPandas(
         read,
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary",
     )
@@ -316,6 +324,22 @@ def _result(record: Record) -> tuple:
     )
 
 
+def store_uri(spark: SparkSession, folder: str) -> str:
+    """The folder as Spark resolves it, in a form that the tasks' readers know too.
+
+    A folder without a scheme lies in the cluster's default store. Spark's names
+    of object stores become those of Arrow; a store that Arrow cannot open is
+    refused here and not in a task.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    scheme, _, path = whole.partition(":")
+    known = STORES.get(scheme)
+    if known is None:
+        raise ValueError(f"archives cannot be written to {scheme}: stores; use one of {', '.join(sorted(STORES))}")
+    return f"{known}:///{path.lstrip('/')}" if known == "file" else f"{known}:{path}"
+
+
 def archived_pages(pages: DataFrame) -> DataFrame:
     """Write the pages into archives in the shared folder and read every record back.
 
@@ -326,7 +350,4 @@ def archived_pages(pages: DataFrame) -> DataFrame:
     result.
     """
     spark: SparkSession = pages.sparkSession
-    folder = staging_path(spark, "archives")
-    if "://" not in folder:
-        folder = "file://" + folder.removeprefix("file:")
-    return read_records(write_archives(pages, folder))
+    return read_records(write_archives(pages, store_uri(spark, staging_path(spark, "archives"))))
