@@ -32,6 +32,20 @@ def test_long_dialogues_come_in_parts_that_add_up(spark):
     assert len(spans) == 150
 
 
+def test_turns_without_numbers_are_dealt_over_parts(spark):
+    """A hundred thousand turns of no conversation, most of them equal and without a number."""
+    frame = spark.range(100_000).selectExpr(
+        "cast(null as long) as conv_id", "if(id % 4 = 0, id % 3, null) as turn", "if(id % 2 = 0, 'a', 'b') as role",
+        "if(id % 8 < 6, 'same', cast(id as string)) as text",
+    )
+    rows = rotate_perspectives(frame, part_rows=1000).select("perspective", "part", "n_turns", "trained").collect()
+    for who in "ab":
+        own = [r for r in rows if r.perspective == who]
+        assert sum(r.n_turns for r in own) == 100_000 and max(r.n_turns for r in own) < 3000
+        assert sorted(r.part for r in own) == list(range(len(own)))
+        assert sum(len(r.trained.split(",")) for r in own if r.trained) == 50_000
+
+
 def test_edges(spark):
     got = rendered(
         spark,
