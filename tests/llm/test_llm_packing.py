@@ -65,6 +65,13 @@ def test_many_groups_and_a_hot_source(spark):
     assert sorted(rows, key=str) == sorted(packed.collect(), key=str)
 
 
+def test_copies_of_one_row_are_dealt_over_the_groups(spark):
+    """A hundred thousand equal rows: none of the groups, each searched by itself, holds many."""
+    frame = spark.range(100_000).selectExpr("cast(5 as long) as doc_id", "'one two three' as text", "'s' as source")
+    sizes = Counter(r.bin >> 32 for r in pack_documents(frame, group_rows=500).select("bin").collect())
+    assert sum(sizes.values()) == 100_000 and len(sizes) == 200 and max(sizes.values()) < 1000
+
+
 def test_edges(spark):
     frame = edge_documents(spark)
     rows = pack_documents(frame, capacity=50).collect()

@@ -21,6 +21,7 @@ from tollstats.llm.staging import checkpointed
 
 CAPACITY = 1024
 GROUP_ROWS = 2048
+COPY_BLOCK = 1000
 
 
 def best_fit(sizes: np.ndarray, sources: np.ndarray, clusters: np.ndarray, capacity: int) -> tuple:
@@ -93,28 +94,33 @@ def pack_documents(
 
     A document without words, or with a null text, is in no bin: its row has
     piece 0, no words and a null bin. Null sources are one source. Repeated
-    rows are packed once each, in different bins, as they share their cluster.
+    rows are packed once each, in different bins, as they share their cluster,
+    and are dealt over all groups.
     Further columns are ignored; an empty table gives an empty result.
     """
     spark = documents.sparkSession
     ship_package(spark)
     cluster = F.xxhash64(F.coalesce("text", F.lit(""))) if cluster is None else cluster
-    narrow = checkpointed(
-        documents.select(
-            "doc_id",
-            F.col("source").cast("string").alias("source"),
-            F.coalesce(cluster.cast("string"), F.lit("")).alias("cluster"),
-            word_count(F.col("text")).alias("total"),
-        )
+    narrow = documents.select(
+        "doc_id",
+        F.col("source").cast("string").alias("source"),
+        F.coalesce(cluster.cast("string"), F.lit("")).alias("cluster"),
+        word_count(F.col("text")).alias("total"),
     )
+    # Repeated rows are counted before they are dealt out, so that copies of one row, which
+    # all conflict, are numbered and do not fall into one group.
+    same = checkpointed(narrow.groupBy(*narrow.columns).agg(F.count("*").alias("copies")))
+    blocks = same.withColumn("block", F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {COPY_BLOCK}"))))
+    until = F.least("copies", (F.col("block") + 1) * COPY_BLOCK)
+    numbered = blocks.withColumn("copy", F.explode(F.sequence(F.col("block") * COPY_BLOCK + 1, until)))
     last = F.greatest(F.lit(0), F.ceil(F.col("total") / capacity) - 1)
-    pieces = narrow.select(
-        "doc_id", "source", "cluster", "total", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece")
+    pieces = numbered.select(
+        "doc_id", "source", "cluster", "total", "copy", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece")
     ).withColumn("first_word", F.col("piece") * capacity)
     pieces = pieces.withColumn("words", F.least(F.lit(capacity), F.col("total") - F.col("first_word")))
     groups = max(1, -(-pieces.count() // group_rows))
     placed = pieces.withColumn(
-        "group", F.pmod(F.xxhash64("doc_id", "cluster", "piece"), F.lit(groups))
+        "group", F.pmod(F.xxhash64("doc_id", "cluster", "piece", "copy"), F.lit(groups))
     )
 
     def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
