@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 from llm_checks import documents, edge_documents, no_documents, words
 
@@ -80,6 +82,19 @@ def test_whole_table_leaves_no_repeated_passage(spark, medium):
     assert repeated > 50
 
 
+def test_rows_that_repeat_an_id(spark):
+    """Many rows of one id, with one text and with several: lists follow the text, not the rows."""
+    long = words(1, 600)
+    rows = [(7, long)] * 300 + [(7, words(50 + i, 60) + " " + words(2, 60)) for i in range(40)] + [(1, words(2, 60))] + [(9, long)]
+    got = chunks.deduplicate_substrings(documents(spark, *rows)).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    by_text = [r for r in got if r.doc_id == 7]
+    assert sum(r.text == long for r in by_text) == 300
+    assert sum(len(r.removed) == 1 and len(r.text.split()) < 80 for r in by_text) == 40  # the passage of id 1
+    assert [r.text for r in got if r.doc_id == 9] == [""]
+    assert all((r.repeated > 0) == bool(r.removed) for r in got)
+
+
 def test_edges(spark):
     frame = edge_documents(spark)
     rows = chunks.deduplicate_substrings(frame).collect()

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollstats.llm.shipping import ship_package
+from tollstats.llm.staging import staged
 from tollstats.llm.tokens import mix, prefix_hashes, slice_hashes, word_bounds
 
 # Bytes of a chunk: at least, beyond that on average, at most.
@@ -92,14 +93,8 @@ def chunk(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The distinct chunks of each document."""
     for batch in batches:
-        parts = []
-        for owner, text in zip(batch["owner"], batch["text"]):
-            _, one, two = chunk((text or "").encode())
-            one, first = np.unique(one, return_index=True)
-            parts.append((np.full(len(one), owner), one, two[first]))
-        if parts:
-            owners, one, two = (np.concatenate(p) for p in zip(*parts))
-            yield pd.DataFrame({"one": one, "two": two, "owner": owners})
+        found = [np.unique(chunk((text or "").encode())[1]) for text in batch["text"]]
+        yield pd.DataFrame({"owner": batch["owner"], "row_key": batch["row_key"], "digests": found})
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +104,7 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def remove_repeats(text: str | None, repeated: np.ndarray, run_words: int = RUN_WORDS) -> tuple:
-    """(kept text, number of chunks, repeated chunks, removed spans in characters)."""
+    """(kept text, number of chunks, removed chunks, removed spans in characters)."""
     if text is None:
         return None, 0, 0, []
     raw = text.encode()
@@ -120,13 +115,14 @@ def remove_repeats(text: str | None, repeated: np.ndarray, run_words: int = RUN_
     starts = np.append(0, ends[:-1])
     data = np.frombuffer(raw, dtype=np.uint8)
     words, _ = word_bounds(data)
-    spans = []
+    spans, removed = [], 0
     for first, last in zip(*_runs(flags)):
         start, stop = starts[first], ends[last - 1]
         if np.searchsorted(words, stop) - np.searchsorted(words, start) >= run_words:
             spans.append((start, stop))
+            removed += int(last - first)
     if not spans:
-        return text, len(ends), int(flags.sum()), []
+        return text, len(ends), 0, []
     characters = np.append(0, np.cumsum((data & 0xC0) != 0x80))
     places = [(int(characters[a]), int(characters[b])) for a, b in spans]
     kept, at = [], 0
@@ -134,7 +130,7 @@ def remove_repeats(text: str | None, repeated: np.ndarray, run_words: int = RUN_
         kept.append(text[at:a])
         at = b
     kept.append(text[at:])
-    return "".join(kept), len(ends), int(flags.sum()), places
+    return "".join(kept), len(ends), removed, places
 
 
 def _owner(doc_id: Column, text: Column) -> Column:
@@ -147,7 +143,7 @@ def deduplicate_substrings(documents: DataFrame, run_words: int = RUN_WORDS) ->
     """The documents without passages that a document of a smaller id has as well.
 
     All columns stay; ``text`` is what is kept of the text, and ``chunks``,
-    ``repeated`` (chunks that an earlier document has) and ``removed`` (spans
+    ``repeated`` (chunks that went with a passage) and ``removed`` (spans
     of the original text in characters) are added, replacing columns of these
     names. A passage goes if its repeated chunks in a row hold ``run_words``
     words or more; repeats within a document stay. Every digest keeps its
@@ -155,29 +151,40 @@ def deduplicate_substrings(documents: DataFrame, run_words: int = RUN_WORDS) ->
     is one row per map task.
 
     A null text stays null and an empty one empty. Documents without an id
-    come behind all others. Rows that repeat an id are one document. An exact
-    copy loses its whole text but keeps its row. An empty table gives an empty
+    come behind all others, in the order of a hash of their text. Texts of one
+    id repeat nothing from each other, and rows that repeat both id and text
+    (or the text, without an id) are one document. A copy under another id
+    loses its whole text but keeps its row. An empty table gives an empty
     result.
+
+    Texts are chunked twice: once for the digests, which are staged, and once
+    for the edit. A digest is 64 bits wide; a chance collision of single
+    chunks removes nothing, as only runs of chunks go.
     """
     ship_package(documents.sparkSession)
     names = [c for c in documents.columns if c not in ("chunks", "repeated", "removed")]
-    owned = documents.select(
-        _owner(F.col("doc_id"), F.col("text")).alias("owner"), F.struct(*names).alias("row")
-    )
-    digests = owned.select("owner", F.col("row.text").alias("text")).mapInPandas(
-        _digests, "one long, two long, owner long"
+    owner = _owner(F.col("doc_id"), F.col("text"))
+    row_key = F.xxhash64(owner, F.coalesce("text", F.lit("")))
+    owned = documents.select(owner.alias("owner"), row_key.alias("row_key"), F.struct(*names).alias("row"))
+    chunked = staged(
+        owned.select("owner", "row_key", F.col("row.text").alias("text")).mapInPandas(
+            _digests, "owner long, row_key long, digests array<long>"
+        ),
+        "chunks",
     )
+    digests = chunked.select("owner", "row_key", F.explode("digests").alias("digest"))
     shared = (
-        digests.groupBy("one", "two")
+        digests.groupBy("digest")
         .agg(F.min("owner").alias("first"), F.max("owner").alias("last"))
         .where(F.col("first") < F.col("last"))
-        .select("one", "two", "first")
+        .select("digest", "first")
     )
+    # A set of one text's chunks, however often its row is repeated.
     repeated = (
-        digests.join(shared, ["one", "two"])
+        digests.join(shared, "digest")
         .where(F.col("owner") > F.col("first"))
-        .groupBy("owner")
-        .agg(F.collect_list("one").alias("digests"))
+        .groupBy("row_key")
+        .agg(F.collect_set("digest").alias("digests"))
     )
 
     @F.pandas_udf(
@@ -193,7 +200,7 @@ def deduplicate_substrings(documents: DataFrame, run_words: int = RUN_WORDS) ->
         done["removed"] = [[{"start": a, "stop": b} for a, b in r] for r in done["removed"]]
         return done
 
-    joined = owned.join(repeated, "owner", "left").select(
+    joined = owned.join(repeated, "row_key", "left").select(
         "row", edited("row.text", "digests").alias("done")
     )
     return joined.select(
