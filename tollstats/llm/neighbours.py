@@ -3,11 +3,14 @@
 On a bounded sample, the graph of nearest neighbours is cut into balanced
 parts, and a small classifier learns in which parts a vector's neighbours are.
 Every row is indexed in its most probable part; a query is compared with all
-rows of the several parts most probable for it.
+rows of the several parts most probable for it. How many parts that must be is
+measured: for a bounded number of sampled queries the neighbours among all rows
+are found exactly, and most of them must lie in the probed parts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -21,13 +24,15 @@ from tollstats.llm.staging import checkpointed
 NEAREST = 20
 # The graph, the classifier and the number of probed parts come from at most so many rows.
 FIT_ROWS = 8192
-PARTS = 32
+# The table is cut into parts of about so many rows, as far as the sample can tell so many
+# parts apart: each needs LEAST_PER_PART sampled vectors.
+PART_ROWS = 1024
 LEAST_PER_PART = 64
 GRAPH_NEIGHBOURS = 10
 OVERFULL = 1.05
 REFINEMENTS = 6
 STEPS = 200
-# Probed parts hold this share of a sampled query's true neighbours.
+# Probed parts hold this share of the true neighbours, among all rows, of so many queries.
 TARGET_RECALL = 0.95
 PROBE_QUERIES = 512
 # Rows and queries that meet in one task.
@@ -105,8 +110,11 @@ def learn_classifier(vectors: np.ndarray, targets: np.ndarray) -> tuple[np.ndarr
     return weights / spread, bias
 
 
-def fit_router(vectors: np.ndarray, k: int = NEAREST, parts: int = PARTS, seed: int = SEED) -> Router:
-    """Router of sampled vectors; a small sample gives a single part, which every query searches."""
+def fit_router(vectors: np.ndarray, k: int = NEAREST, parts: int = 32, seed: int = SEED) -> Router:
+    """Router of sampled vectors; a small sample gives a single part, which every query searches.
+
+    ``probes`` holds for neighbours within the sample, which are farther than those among all rows.
+    """
     n = len(vectors)
     parts = max(1, min(parts, n // LEAST_PER_PART))
     if parts == 1:
@@ -162,6 +170,39 @@ def _search(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
 
+def probes_needed(router: Router, queries: np.ndarray, homes: np.ndarray, target: float = TARGET_RECALL) -> int:
+    """Probed parts that hold the ``target`` share of the neighbours; ``homes`` has a neighbour's part and its query."""
+    places = np.argsort(np.argsort(-(queries @ router.weights + router.bias), axis=1, kind="stable"), axis=1)
+    reached = places[homes["query"], homes["part"]]
+    held = np.cumsum(np.bincount(reached, minlength=len(router.bias))) / max(len(reached), 1)
+    return int(np.argmax(held >= target)) + 1 if len(reached) else len(router.bias)
+
+
+def _true_parts(rows: DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
+    """(query, part) of the k nearest rows of each asked vector, by comparing them with all rows.
+
+    ``asked`` is bounded, and so is what a task returns: k rows a query.
+    """
+    numbers = pd.DataFrame({"query_id": asked["vec_id"], "vector": asked["vector"]})
+    place = dict(zip(asked["vec_id"], range(len(asked))))
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = None
+        for batch in batches:
+            parts = batch.drop_duplicates("vec_id").set_index("vec_id")["part"]
+            found = _search(numbers, batch, k).drop_duplicates(["query_id", "vec_id"])
+            found["part"] = parts.reindex(found["vec_id"]).to_numpy()
+            found = found if best is None else pd.concat([best, found])
+            best = found.sort_values(["query_id", "score"], ascending=[True, False]).groupby("query_id").head(k)
+        if best is not None:
+            yield best[["query_id", "vec_id", "score", "part"]].astype({"query_id": "int64", "vec_id": "int64", "part": "int32"})
+
+    found = rows.select("vec_id", "vector", "part").mapInPandas(nearest, "query_id long, vec_id long, score double, part int")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    kept = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "part").toPandas()
+    return pd.DataFrame({"query": kept["query_id"].map(place).astype(int), "part": kept["part"].astype(int)})
+
+
 def _usable(vector: Column) -> Column:
     """No null, no infinite or undefined component, not all zero."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
@@ -169,7 +210,7 @@ def _usable(vector: Column) -> Column:
 
 
 def nearest_neighbours(
-    vectors: DataFrame, queries: Column, k: int = NEAREST, fit_rows: int = FIT_ROWS, parts: int = PARTS
+    vectors: DataFrame, queries: Column, k: int = NEAREST, fit_rows: int = FIT_ROWS, parts: int | None = None
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the k rows found for every query row.
 
@@ -182,6 +223,9 @@ def nearest_neighbours(
     candidates all are returned; an empty table gives an empty result. Further
     columns are ignored.
 
+    Without ``parts`` their number grows with the table, up to the one that a
+    sample of ``fit_rows`` can tell apart.
+
     Parts are cut into blocks of rows and of queries, so a part that many equal
     vectors fill meets its queries in many tasks.
     """
@@ -193,7 +237,12 @@ def nearest_neighbours(
     widths = usable.groupBy(F.size("vector").alias("width")).count()
     usual = widths.orderBy(F.desc("count"), "width").first()
     usable = usable.where(F.size("vector") == (usual["width"] if usual else 0))
-    sample = usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).select("vector").toPandas()
+    n = usable.count()
+    # Of n even hashes about so many lie below the limit: enough of them, and few more.
+    limit = int(-(2**63) + min(1.0, (fit_rows + 6 * fit_rows**0.5) / max(n, 1)) * (2**64 - 1))
+    drawn = usable.where(F.xxhash64("vec_id") <= min(limit, 2**63 - 1)).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    sample = drawn.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).toPandas()
+    parts = max(1, -(-n // PART_ROWS)) if parts is None else parts
     router = fit_router(_matrix(sample["vector"]) if len(sample) else np.zeros((0, 1)), k, parts)
 
     @F.pandas_udf("int")
@@ -201,6 +250,9 @@ def nearest_neighbours(
         return pd.Series((_matrix(batch) @ router.weights + router.bias).argmax(axis=1).astype(np.int32))
 
     rows = checkpointed(usable.withColumn("part", home("vector")))
+    if len(router.bias) > 1:
+        asked = sample.iloc[np.random.default_rng(SEED).choice(len(sample), min(PROBE_QUERIES, len(sample)), replace=False)]
+        router = router._replace(probes=probes_needed(router, _matrix(asked["vector"]), _true_parts(rows, asked, k)))
     sizes = np.zeros(len(router.bias), dtype=np.int64)
     for r in rows.groupBy("part").count().collect():
         sizes[r["part"]] = r["count"]
