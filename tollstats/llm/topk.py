@@ -1,6 +1,6 @@
 """Exact top-k search that rules rows out by statistics of their segments.
 
-A vector is cut into 1, 4 and 16 segments of equal length, and each segment
+A vector is cut into 1, 4, 16 and 32 segments of equal length, and each segment
 keeps its mean and deviation. For two vectors q and x with segments of length m
 
     |q - x|^2 >= sum over segments of m ((mean_q - mean_x)^2 + (dev_q - dev_x)^2),
@@ -18,20 +18,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollstats.llm.blocked import AT_ONCE, block_numbers, block_of, in_order, matrices, meet, usable_vectors
+from tollstats.llm.blocked import AT_ONCE, block_numbers, block_of, in_order, largest, matrices, meet, usable_vectors
 from tollstats.llm.shipping import ship_package
 from tollstats.llm.staging import checkpointed, staged
 
 NEAREST = 5
 SCALE = 256.0
-LEVELS = (1, 4, 16)
+LEVELS = (1, 4, 16, 32)
 # Rounding of a bound, as a share of the product of both lengths.
 ROUNDING = 1e-9
-# Bounds of single pairs, not of all pairs, from this share of pairs left downward.
+# From this share of pairs left downward single pairs are bounded and scored, above it all of a block.
 SPARSE = 1 / 16
 # Whole numbers below this are exact in double precision.
 EXACT = 2.0**53
 PAIRS_AT_ONCE = 1 << 17
+# Rows scored at each level to raise the threshold, in multiples of k.
+PROMISING = 8
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -62,11 +64,15 @@ class Block:
         self.longest = float(np.sqrt((rows**2).sum(axis=1)).max(initial=0.0))
         self.scored = 0
 
+    def largest_product(self, queries: np.ndarray) -> float:
+        """No sum of products exceeds this."""
+        largest = float(np.abs(queries).max(initial=0.0)) * float(np.abs(self.rows).max(initial=0.0))
+        return largest * self.rows.shape[1]
+
     def exact(self, queries: np.ndarray, q: np.ndarray, x: np.ndarray) -> np.ndarray:
         """Scores as whole numbers; in Python's integers where doubles would round."""
         self.scored += len(q)
-        largest = float(np.abs(queries).max(initial=0.0)) * float(np.abs(self.rows).max(initial=0.0)) * self.rows.shape[1]
-        if largest < EXACT:
+        if self.largest_product(queries) < EXACT:
             return pair_products(queries, self.rows, q, x).astype(np.int64)
         whole = [[[int(c) for c in v] for v in side] for side in (queries[q], self.rows[x])]
         return np.array([sum(a * b for a, b in zip(u, v)) for u, v in zip(*whole)], dtype=np.int64)
@@ -84,14 +90,20 @@ class Block:
                 bound = np.full(alive.shape, -np.inf)
                 q, x = np.nonzero(alive)
                 bound[q, x] = pair_products(asked, statistic, q, x)
-            # The k most promising rows, scored, tell what the k-th best reaches at least.
-            if alive.shape[1] >= k:
-                promising = np.argpartition(-bound, k - 1, axis=1)[:, :k]
-                q = np.repeat(np.arange(len(queries)), k)
-                scores = self.exact(queries, q, promising.ravel()).astype(float).reshape(-1, k)
+            # Some of the most promising rows, scored, tell what the k-th best reaches at least.
+            tried = min(PROMISING * k, alive.shape[1])
+            if tried >= k:
+                promising = np.argpartition(-bound, tried - 1, axis=1)[:, :tried]
+                q = np.repeat(np.arange(len(queries)), tried)
+                scores = self.exact(queries, q, promising.ravel()).astype(float).reshape(-1, tried)
                 scores[~np.take_along_axis(alive, promising, axis=1)] = -np.inf
-                least = np.maximum(least, scores.min(axis=1))
+                least = np.maximum(least, np.partition(scores, -k, axis=1)[:, -k])
             alive &= bound + slack[:, None] >= least[:, None]
+        if alive.sum() > SPARSE * alive.size and self.largest_product(queries) < EXACT:
+            self.scored += int(alive.sum())
+            scores = (queries @ self.rows.T).astype(np.int64)
+            q, x = largest(scores, alive, self.ids, k)
+            return q, x, scores[q, x]
         q, x = np.nonzero(alive)
         scores = self.exact(queries, q, x)
         order = in_order(q, self.ids[x], scores, k)
