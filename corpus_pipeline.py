@@ -3,6 +3,9 @@
 Documents that the quality classifier rejects go; one document of each
 near-duplicate class stays; passages that an earlier document has go; sources
 are mixed to their targets; and the mix is packed into bins.
+
+All stages take nulls in any column and further columns, which the first four
+hand on. Empty documents give empty results. A null text counts as an empty one.
 """
 
 from __future__ import annotations
@@ -22,27 +25,47 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the classifier, trained on the folder's labels, accepts."""
+    """The documents that the classifier, trained on the folder's labels, accepts.
+
+    Null and empty texts share one score and go or stay together, and so do
+    repeated rows and equal texts; ids, null ones too, make no difference.
+    """
     return accepted_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate class."""
+    """The document of the smallest id of each near-duplicate class.
+
+    Where no document of a class has an id, one of them stays. Of repeated rows
+    one stays. Null and empty texts are one class.
+    """
     return without_near_duplicates(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that a document of a smaller id has."""
+    """All documents, without the passages that a document of a smaller id has.
+
+    Documents without an id come behind all others. Every row stays, also one
+    that loses its whole text; rows that repeat id and text are one document.
+    """
     return deduplicated_documents(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as their source's target asks."""
+    """The documents as often as their source's target asks.
+
+    A null source is a source. A document without words is never taken; rows
+    that repeat an id share the cut in proportion to their sizes.
+    """
     return mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of a document lies: its bin and place."""
+    """Where each piece of a document lies: its bin and place.
+
+    A document without words has a row without a bin. Repeated rows, as the mix
+    makes them, lie in different bins.
+    """
     return pack_documents(docs)
 
 
