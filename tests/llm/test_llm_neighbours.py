@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tollstats.llm import neighbours
@@ -64,6 +65,37 @@ def test_recall_with_several_parts(spark):
     assert hits / (10 * len(want)) >= 0.9
 
 
+def test_less_is_compared_of_larger_tables_that_cluster(spark, monkeypatch):
+    """Parts grow with the table, and the probes that the true neighbours need do not."""
+    monkeypatch.setattr(neighbours, "PARTS", 4)
+    monkeypatch.setattr(neighbours, "PART_ROWS", 100)
+    routers = []
+    needed = neighbours.probes_needed
+    monkeypatch.setattr(neighbours, "probes_needed", lambda router, *a: routers.append((len(router.bias), needed(router, *a))) or routers[-1][1])
+    random = np.random.default_rng(9)
+    centres = random.normal(size=(400, 24))
+    for n in (3000, 12_000):
+        x = (centres[random.integers(0, 400, n)] + random.normal(size=(n, 24)) * 0.3).astype(np.float32)
+        ask = max(1, n // 60)
+        got = result(nearest_neighbours(frame(spark, list(enumerate(x.tolist()))), F.col("vec_id") % ask == 0, k=10))
+        exact, hits = x.astype(float), 0
+        for q in got:
+            scores = exact @ exact[q]
+            scores[q] = -np.inf
+            hits += len({i for i, _ in got[q]} & set(np.argsort(-scores)[:10].tolist()))
+        assert hits / (10 * len(got)) >= 0.9
+    (few, probes), (many, later) = routers
+    assert few < many and later / many < 0.6 * probes / few
+
+
+def test_probes_follow_the_true_neighbours():
+    router = neighbours.Router(np.eye(4), np.zeros(4), 4)
+    queries = np.array([[4.0, 3.0, 2.0, 1.0], [1.0, 2.0, 3.0, 4.0]])
+    homes = pd.DataFrame({"query": [0] * 10 + [1] * 10, "part": [0] * 9 + [1] + [3] * 9 + [0]})
+    assert [neighbours.probes_needed(router, queries, homes, t) for t in (0.9, 0.95, 1.0)] == [1, 2, 4]
+    assert neighbours.probes_needed(router, queries, homes.head(0)) == 4
+
+
 def test_parts_are_balanced():
     random = np.random.default_rng(4)
     x = np.concatenate([random.normal(size=(700, 8)), np.ones((300, 8))])

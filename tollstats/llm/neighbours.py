@@ -24,9 +24,10 @@ from tollstats.llm.staging import checkpointed
 NEAREST = 20
 # The graph, the classifier and the number of probed parts come from at most so many rows.
 FIT_ROWS = 8192
-# The table is cut into parts of about so many rows, as far as the sample can tell so many
-# parts apart: each needs LEAST_PER_PART sampled vectors.
-PART_ROWS = 1024
+# The table is cut into so many parts, or into parts of so many rows where these are more, as
+# far as the sample can tell so many apart: each needs LEAST_PER_PART sampled vectors. Every
+# probed part returns k rows a query, so where the vectors do not cluster, more parts cost more.
+PARTS, PART_ROWS = 32, 8192
 LEAST_PER_PART = 64
 GRAPH_NEIGHBOURS = 10
 OVERFULL = 1.05
@@ -110,7 +111,7 @@ def learn_classifier(vectors: np.ndarray, targets: np.ndarray) -> tuple[np.ndarr
     return weights / spread, bias
 
 
-def fit_router(vectors: np.ndarray, k: int = NEAREST, parts: int = 32, seed: int = SEED) -> Router:
+def fit_router(vectors: np.ndarray, k: int = NEAREST, parts: int = PARTS, seed: int = SEED) -> Router:
     """Router of sampled vectors; a small sample gives a single part, which every query searches.
 
     ``probes`` holds for neighbours within the sample, which are farther than those among all rows.
@@ -242,7 +243,7 @@ def nearest_neighbours(
     limit = int(-(2**63) + min(1.0, (fit_rows + 6 * fit_rows**0.5) / max(n, 1)) * (2**64 - 1))
     drawn = usable.where(F.xxhash64("vec_id") <= min(limit, 2**63 - 1)).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     sample = drawn.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).toPandas()
-    parts = max(1, -(-n // PART_ROWS)) if parts is None else parts
+    parts = max(PARTS, -(-n // PART_ROWS)) if parts is None else parts
     router = fit_router(_matrix(sample["vector"]) if len(sample) else np.zeros((0, 1)), k, parts)
 
     @F.pandas_udf("int")
