@@ -33,7 +33,7 @@ WHOLE = 0.9
 COARSE = 1 / 1024
 # Running sums go over the totals of buckets, of this many rows on average, and of
 # this many buckets at least.
-BUCKET_ROWS, BUCKETS = 1 << 17, 256
+BUCKET_ROWS, BUCKETS = 1 << 12, 256
 
 
 def _bits(rows: int) -> int:
