@@ -15,9 +15,10 @@ from test_sources import SETTINGS
 from tollstats.operators import quantiles
 from tollstats.operators.bitmaps import bitmap_distinct, id_bitmaps, merged_bitmaps
 from tollstats.operators.quantiles import exact_quantiles
-from tollstats.plans import activity, reports
+from tollstats.plans import activity, ingest, reports
 from tollstats.sources import jdbc, jdbc_store
-from tollstats.sources.lineitems import traffic_tables
+from tollstats.sources.lineitems import raw_records, traffic_tables
+from tollstats.sources.parquet_store import ParquetStore
 
 
 def database(spark, ids):
@@ -92,6 +93,19 @@ def test_bitmaps_add_up_over_loads(spark, small):
     assert "bitmap_or_agg" in plan
 
 
+def test_loads_keep_the_activity(spark, small, tmp_path):
+    """Two loads that overlap, and one that adds nothing: the stored bitmaps give the report."""
+    store = ParquetStore(spark, str(tmp_path / "store"))
+    assert activity.stations_per_year(store.activity()).count() == 0
+    raw = raw_records(traffic_tables(spark, small))
+    early = F.col("ANIO").cast("int") < 1998
+    for part in (raw.where(early), raw.where(~early | (F.col("MES").cast("int") == 3)), raw):
+        ingest.load(store, part, activity=True)
+    assert rows(activity.stations_per_year(store.activity())) == sorted(rows(reports.stations_per_year(store.tables())))
+    plan = activity.stations_per_year(store.activity())._jdf.queryExecution().toString()
+    assert "flujo_peaje" not in plan
+
+
 def test_bitmaps_of_odd_ids(spark):
     ids = [0, 1, -1, 32767, 32768, 32769, -32768, 2**40, 2**40, None, 5, 5]
     frame = spark.createDataFrame([("a" if i % 2 else None, x) for i, x in enumerate(ids)], "k string, id bigint")

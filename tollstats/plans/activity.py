@@ -10,9 +10,7 @@ from pyspark.sql import DataFrame
 
 from tollstats.operators.bitmaps import bitmap_distinct, id_bitmaps
 from tollstats.operators.joins import broadcast_if_small
-from tollstats.schema import Tables
-
-ACTIVITY_KEYS = ["anio", "administracion"]
+from tollstats.schema import ACTIVITY_KEYS, Tables
 
 
 def station_activity(tables: Tables) -> DataFrame:

@@ -16,6 +16,7 @@ from tollstats.functions.casts import CASTS, unreadable
 from tollstats.operators.dedup import dedup_counted
 from tollstats.operators.joins import broadcast_if_small
 from tollstats.operators.surrogate import ID_BUCKETS, assign_ids
+from tollstats.plans.activity import station_activity
 from tollstats.schema import (
     FLUJO_NAMES,
     FLUJO_SCHEMA,
@@ -24,6 +25,7 @@ from tollstats.schema import (
     MEASURE_COLUMNS,
     STATION_COLUMNS,
     STATION_KEY,
+    Tables,
 )
 from tollstats.sources.staging import ensure_checkpoint_dir, staged_table
 
@@ -222,9 +224,14 @@ def load_dim(store: Store, raw: DataFrame, buckets: int = ID_BUCKETS) -> None:
     store.append_peaje(new if store.assigns_ids else number_stations(new, existing, buckets))
 
 
-def load_fact(store: Store, raw: DataFrame, fixed_years: bool = False) -> DataFrame | None:
+def load_fact(
+    store: Store, raw: DataFrame, fixed_years: bool = False, activity: bool = False
+) -> DataFrame | None:
     """Append the records the store lacks, one per id; those without an id are left out.
 
+    With ``activity`` the bitmaps of the new records' stations are appended as
+    well, so that distinct stations can be counted without reading the records.
+
     Returns the conflicts met: the id, the record that is stored, and why others
     of that id are not (``duplicate`` or ``changed``, see ``load_rejected``);
     None where no record has an id. The batch is staged once, compared with
@@ -240,17 +247,21 @@ def load_fact(store: Store, raw: DataFrame, fixed_years: bool = False) -> DataFr
             ensure_checkpoint_dir(rows.sparkSession)
             conflicts = rows.where(F.col("reason").isNotNull()).select(ID_COLUMN.name, "stored", "reason")
             conflicts = conflicts.dropDuplicates([ID_COLUMN.name]).checkpoint()
-            store.append_flujo(rows.where("new").select(*FLUJO_NAMES))
+            new = rows.where("new").select(*FLUJO_NAMES)
+            store.append_flujo(new)
+            if activity:
+                store.append_activity(station_activity(Tables(store.peaje(), new)))
     return conflicts
 
 
-def load(store: Store, raw: DataFrame, fixed_years: bool = False) -> DataFrame:
+def load(store: Store, raw: DataFrame, fixed_years: bool = False, activity: bool = False) -> DataFrame:
     """Load stations and records; what was left out comes back (see ``load_rejected``).
 
     ``fixed_years`` states that a stored id never moves to another year, so that
-    only the batch's years of the store are read.
+    only the batch's years of the store are read. ``activity`` also keeps the
+    bitmaps of active stations, which the store must be able to take.
     """
     records = whole_lines(raw)
     load_dim(store, records)
-    conflicts = load_fact(store, records, fixed_years)
+    conflicts = load_fact(store, records, fixed_years, activity)
     return load_rejected(raw, store.peaje(), conflicts=conflicts)

@@ -24,7 +24,7 @@ from tollstats.plans import activity, features, ingest, modelrules, models, repo
 from tollstats.schema import FLUJO_SCHEMA, ID_COLUMN, MALFORMED, MEASURE_COLUMNS, RAW_NAMES, STATION_KEY, Tables
 from tollstats.sources.csv_files import scan_csv, write_csv
 from tollstats.sources.lineitems import raw_records, traffic_tables
-from tollstats.sources.parquet_store import ParquetStore, append_parquet
+from tollstats.sources.parquet_store import ParquetStore
 from tollstats.sources.staging import ensure_checkpoint_dir, remove_at_exit, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -523,14 +523,15 @@ def class_weights(tables: Tables) -> DataFrame:
 
 
 def activity_bitmaps(tables: Tables) -> DataFrame:
-    """q10 from bitmaps that two loads have stored, one of each half of the months."""
+    """q10 from the bitmaps that a store keeps of two loads, one of each half of the months."""
     spark = tables.peaje.sparkSession
-    path = staging_path(spark, "activity")
-    for half in (F.col("mes") % 2 == 0, F.col("mes") % 2 == 1):
-        loaded = Tables(tables.peaje, tables.flujo_peaje.where(half))
-        append_parquet(activity.station_activity(loaded), path)
-    remove_at_exit(spark, path)
-    return activity.stations_per_year(spark.read.parquet(path))
+    root = staging_path(spark, "activity")
+    store = ParquetStore(spark, root)
+    for half in (0, 1):
+        loaded = tables._replace(flujo_peaje=tables.flujo_peaje.where(F.col("mes") % 2 == half))
+        store.append_activity(activity.station_activity(loaded))
+    remove_at_exit(spark, root)
+    return activity.stations_per_year(store.activity())
 
 
 TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {

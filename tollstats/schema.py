@@ -68,3 +68,14 @@ FLUJO_SCHEMA = T.StructType(
     [T.StructField("id_flujo", T.LongType()), T.StructField("id_peaje", T.LongType())]
     + [T.StructField(c.name, _TYPES[c.kind]) for c in MEASURE_COLUMNS]
 )
+
+# Active stations as bitmaps of their ids, by year and administration.
+ACTIVITY_KEYS = ["anio", "administracion"]
+ACTIVITY_SCHEMA = T.StructType(
+    [
+        T.StructField("anio", T.IntegerType()),
+        T.StructField("administracion", T.StringType()),
+        T.StructField("bucket", T.LongType()),
+        T.StructField("bitmap", T.BinaryType()),
+    ]
+)

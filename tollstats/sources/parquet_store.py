@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tollstats.schema import FLUJO_SCHEMA, PEAJE_SCHEMA, Tables
+from tollstats.schema import ACTIVITY_SCHEMA, FLUJO_SCHEMA, PEAJE_SCHEMA, Tables
 
 
 def append_parquet(frame: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -29,7 +29,10 @@ def append_parquet(frame: DataFrame, path: str, partition_by: str | None = None)
 
 @dataclass(frozen=True)
 class ParquetStore:
-    """Both tables under ``root``; the fact is partitioned by year."""
+    """Both tables under ``root``; the fact is partitioned by year.
+
+    Beside them, loads that are asked to keep the stations' activity as bitmaps.
+    """
 
     spark: SparkSession
     root: str
@@ -60,3 +63,10 @@ class ParquetStore:
         append_parquet(
             rows.select(*FLUJO_SCHEMA.names), f"{self.root}/flujo_peaje", partition_by="anio"
         )
+
+    def activity(self) -> DataFrame:
+        """The bitmaps of all loads that kept them; reports merge them."""
+        return self._read("actividad", ACTIVITY_SCHEMA)
+
+    def append_activity(self, rows: DataFrame) -> None:
+        append_parquet(rows.select(*ACTIVITY_SCHEMA.names), f"{self.root}/actividad")
