@@ -82,13 +82,11 @@ def staged_base(tables: Tables) -> DataFrame:
 def feature_frame(labelled: DataFrame, scale: bool = False) -> DataFrame:
     """Features of a labelled frame.
 
-    The labelled rows are kept in the shared folder as well: indexing, every
-    training pass and the scoring start from them, and losing an executor
-    repeats neither joins nor quantiles.
+    Labels come from the staged base by expressions on constants, so every pass
+    over the labelled rows starts from the shared folder; losing an executor
+    repeats neither joins nor quantiles, and the rows are written only once.
     """
-    ensure_checkpoint_dir(labelled.sparkSession)
-    rows = labelled.checkpoint()
-    return feature_pipeline(scale).fit(rows).transform(rows)
+    return feature_pipeline(scale).fit(labelled).transform(labelled)
 
 
 def binary_features(

@@ -27,8 +27,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Checkpoints go to a folder of this application, which is removed when it ends."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+        remove_at_exit(spark, spark.sparkContext.getCheckpointDir())
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -63,3 +65,4 @@ def staged_table(frame: DataFrame, name: str) -> Iterator[DataFrame]:
         yield spark.read.schema(frame.schema).parquet(path)
     finally:
         remove_path(spark, path)
+
