@@ -168,12 +168,18 @@ class Bounds(NamedTuple):
 
 
 def batch_bounds(batch: DataFrame) -> Bounds | None:
-    """What of the stored records a batch can meet; None for a batch without ids."""
-    span = batch.agg(F.min(ID_COLUMN.name).alias("low"), F.max(ID_COLUMN.name).alias("high")).first()
-    if span["low"] is None:
+    """What of the stored records a batch can meet; None for a batch without ids.
+
+    One job for a batch of a usual number of years, a second one beyond.
+    """
+    ids = F.min(ID_COLUMN.name).alias("low"), F.max(ID_COLUMN.name).alias("high")
+    years = batch.where(F.col(ID_COLUMN.name).isNotNull()).groupBy(YEAR).agg(*ids).limit(LISTED_YEARS + 1).collect()
+    if not years:
         return None
-    years = [r[YEAR] for r in batch.select(YEAR).distinct().limit(LISTED_YEARS + 1).collect()]
-    return Bounds(span["low"], span["high"], years if len(years) <= LISTED_YEARS else None)
+    if len(years) > LISTED_YEARS:
+        span = batch.agg(*ids).first()
+        return Bounds(span["low"], span["high"], None)
+    return Bounds(min(r["low"] for r in years), max(r["high"] for r in years), [r[YEAR] for r in years])
 
 
 def fact_new(
