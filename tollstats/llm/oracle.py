@@ -67,4 +67,42 @@ SELECT doc_id, cast(size AS bigint) AS size, source_size, target,
 FROM drawn
 """
 
-ORACLE: dict[str, str] = {"op2_perspectives": OP2, "op9_mixing": OP9}
+# Components as whole numbers; their products are exact in double precision.
+_WHOLE = """
+  SELECT vec_id, {label} AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS whole
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+OP12 = f"""
+WITH rows AS ({_WHOLE.format(label="label")}),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.whole, b.whole) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+
+OP13 = f"""
+WITH rows AS ({_WHOLE.format(label="CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")}),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.whole, b.whole) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 100 = 0 AND a.label IS NOT NULL AND b.label IS NOT NULL),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+    FROM scored WHERE same) p
+  WHERE place <= 5),
+negatives AS (
+  SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS place
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE place <= 10
+"""
+
+ORACLE: dict[str, str] = {"op2_perspectives": OP2, "op9_mixing": OP9, "op12_topk": OP12, "op13_negatives": OP13}
