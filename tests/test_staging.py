@@ -1,0 +1,51 @@
+"""Staged tables come and go."""
+
+from __future__ import annotations
+
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
+from tollstats.operators.quantiles import exact_quantiles
+from tollstats.sources.staging import shared_dir, staged_table
+
+
+def staged(spark):
+    return {p.name for p in Path(shared_dir(spark).removeprefix("file:")).glob("tollstats-*")}
+
+
+def test_a_staged_table_is_read_and_removed(spark):
+    before = staged(spark)
+    with staged_table(spark.range(5), "numbers") as rows:
+        assert rows.count() == 5 and any("numbers" in name for name in staged(spark) - before)
+    assert staged(spark) == before
+    with pytest.raises(ZeroDivisionError), staged_table(spark.range(5), "numbers"):
+        1 / 0
+    assert staged(spark) == before
+
+
+def test_quantiles_leave_nothing_behind(spark):
+    before = staged(spark)
+    assert exact_quantiles(spark.range(100), "id", {"m": 0.5}).first().m == 49
+    assert staged(spark) == before
+
+
+def test_tables_of_results_go_with_the_application(tmp_path):
+    root = Path(__file__).resolve().parent.parent
+    program = f"""
+import sys; sys.path.insert(0, {str(root)!r})
+from pyspark.sql import SparkSession
+from tollstats.sources.staging import ensure_checkpoint_dir, remove_at_exit, staging_path
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+path = staging_path(spark, "result")
+spark.range(3).write.parquet(path)
+remove_at_exit(spark, path)
+ensure_checkpoint_dir(spark)
+assert spark.range(3).checkpoint().count() == spark.read.parquet(path).count() == 3
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", program], check=True, timeout=120, capture_output=True)
+    assert not list(tmp_path.glob("tollstats-*"))
