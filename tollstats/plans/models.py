@@ -26,7 +26,7 @@ from tollstats.plans.features import (
     vector_width,
 )
 from tollstats.schema import Tables
-from tollstats.sources.staging import ensure_checkpoint_dir
+from tollstats.sources.staging import columnar, ensure_checkpoint_dir
 
 # Model names and training parameters.
 LOGISTIC_NAME = "Regresión logística"
@@ -68,25 +68,24 @@ def multinomial() -> LogisticRegression:
 
 
 def staged_base(tables: Tables) -> DataFrame:
-    """The feature table, joined once, spread evenly and kept in the shared folder.
+    """The feature table, joined once, spread evenly and kept as columns in the shared folder.
 
-    Quantiles, class sizes and labels each read it again, from there and not
-    from the tables behind it.
+    Quantiles, class sizes and labels each read what they need of it, from there
+    and not from the tables behind it.
     """
-    base = ml_base(tables)
-    spark = base.sparkSession
-    ensure_checkpoint_dir(spark)
-    return base.hint("rebalance").checkpoint()
+    return columnar(ml_base(tables), "base")
 
 
 def feature_frame(labelled: DataFrame, scale: bool = False) -> DataFrame:
     """Features of a labelled frame.
 
-    Labels come from the staged base by expressions on constants, so every pass
-    over the labelled rows starts from the shared folder; losing an executor
-    repeats neither joins nor quantiles, and the rows are written only once.
+    The labelled rows are checkpointed: indexing, every training pass and the
+    scoring start from them, and losing an executor repeats neither joins nor
+    quantiles.
     """
-    return feature_pipeline(scale).fit(labelled).transform(labelled)
+    ensure_checkpoint_dir(labelled.sparkSession)
+    rows = labelled.checkpoint()
+    return feature_pipeline(scale).fit(rows).transform(rows)
 
 
 def binary_features(

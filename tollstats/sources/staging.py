@@ -66,3 +66,17 @@ def staged_table(frame: DataFrame, name: str) -> Iterator[DataFrame]:
     finally:
         remove_path(spark, path)
 
+
+
+def columnar(frame: DataFrame, name: str) -> DataFrame:
+    """The frame written once as compressed columns, and removed when the application ends.
+
+    Rows that fill fewer files than there are cores are dealt over them evenly.
+    """
+    spark = frame.sparkSession
+    path = staging_path(spark, name)
+    frame.write.parquet(path)
+    remove_at_exit(spark, path)
+    back = spark.read.schema(frame.schema).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return back.repartition(cores) if back.rdd.getNumPartitions() < cores else back
