@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tollstats.operators import sampling
 from tollstats.plans import features, modelrules, models
 from tollstats.plans.modelrules import forest_column, forest_probabilities, leaf, rule_gaps, score_equations, with_rules
+from tollstats.registry import queries
 from tollstats.sources.lineitems import traffic_tables
 
 def inputs():
@@ -163,3 +164,50 @@ def test_class_weights(spark, zeros, ones, weight):
     got = {(r.label, r.weight) for r in weighted.collect()}
     assert got == ({(0.0, 1.0)} if zeros else set()) | ({(1.0, weight)} if ones else set())
     assert weighted.count() == zeros + ones
+
+
+def read_inputs(frame):
+    """How often a plan turns the vectors into arrays."""
+    return frame._jdf.queryExecution().analyzed().toString().count("UDF(features")
+
+
+def test_rules_read_the_inputs_once(spark):
+    """Not once per class, output, tree and step."""
+    rows = spark.createDataFrame([(Vectors.dense(0.5, -2.0),)], ["features"])
+    regression = SimpleNamespace(
+        coefficientMatrix=SimpleNamespace(toArray=lambda: np.ones((3, 2))),
+        interceptVector=SimpleNamespace(toArray=lambda: np.zeros(3)),
+    )
+    layered = SimpleNamespace(getLayers=lambda: [2, 3, 2], weights=SimpleNamespace(toArray=lambda: np.ones(17)))
+    nodes = spark.createDataFrame([(0, 0, -1, [], False, -1, -1, [1.0, 3.0])], "tree int, node int, feature int, cuts array<double>, categorical boolean, left int, right int, votes array<double>")
+    trees = forest_column(nodes)
+    for probability, expected in (
+        (modelrules.logistic_probabilities(regression, inputs()), [1 / 3] * 3),
+        (modelrules.perceptron_probabilities(layered, inputs()), [0.5, 0.5]),
+        (forest_probabilities(trees, inputs(), 3, 2), [0.25, 0.75]),
+    ):
+        scored = rows.select(probability.alias("p"))
+        assert read_inputs(scored) == 1
+        assert scored.first().p == pytest.approx(expected)
+
+
+@pytest.mark.parametrize("query", ["ml_compare_rules"])
+def test_two_labels_start_from_one_base(tables, monkeypatch, query):
+    class Enough(Exception):
+        pass
+
+    frames, staged = [], models.staged_base
+
+    def first_and_second(labelled, scale=False):
+        frames.append(labelled)
+        if len(frames) == 2:
+            raise Enough
+        return feature_frame(labelled, scale)
+
+    feature_frame, bases = models.feature_frame, []
+    monkeypatch.setattr(models, "staged_base", lambda t: bases.append(staged(t)) or bases[-1])
+    monkeypatch.setattr(models, "feature_frame", first_and_second)
+    with pytest.raises(Enough):
+        getattr(queries, query)(tables)
+    assert [sorted(f.columns) == sorted([*bases[0].columns, "label"]) for f in frames] == [True, True]
+    assert len(bases) == 1

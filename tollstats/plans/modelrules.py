@@ -7,7 +7,7 @@ can be explained, checked, or made where no ML library runs.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
@@ -37,6 +37,11 @@ NODE = T.StructType(
 )
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that each row computes once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def weighted_sum(features: Column, weights: Sequence[float], constant: float) -> Column:
     products = F.zip_with(features, F.lit([float(w) for w in weights]), lambda x, w: x * w)
     return F.aggregate(products, F.lit(float(constant)), lambda total, term: total + term)
@@ -44,9 +49,15 @@ def weighted_sum(features: Column, weights: Sequence[float], constant: float) ->
 
 def softmax(margins: Sequence[Column]) -> Column:
     """Class probabilities; the largest margin is taken off first, so that none overflows."""
-    top = F.greatest(*margins)
-    shares = [F.exp(m - top) for m in margins]
-    return F.array(*[share / sum(shares[1:], shares[0]) for share in shares])
+
+    def shares(each: Column) -> Column:
+        return bound(F.array_max(each), lambda top: F.transform(each, lambda margin: F.exp(margin - top)))
+
+    def normed(each: Column) -> Column:
+        total = F.aggregate(each, F.lit(0.0), lambda a, b: a + b)
+        return bound(total, lambda whole: F.transform(each, lambda share: share / whole))
+
+    return bound(bound(F.array(*margins), shares), normed)
 
 
 def sigmoid(margin: Column) -> Column:
@@ -64,10 +75,14 @@ def most_probable(probability: Column) -> Column:
 def logistic_probabilities(model: LogisticRegressionModel, features: Column) -> Column:
     """Of a binary model, or of a multinomial one."""
     rows, constants = model.coefficientMatrix.toArray().tolist(), model.interceptVector.toArray().tolist()
-    margins = [weighted_sum(features, row, constant) for row, constant in zip(rows, constants)]
-    if len(margins) > 1:
-        return softmax(margins)
-    return F.array(sigmoid(-margins[0]), sigmoid(margins[0]))
+
+    def probabilities(inputs: Column) -> Column:
+        margins = [weighted_sum(inputs, row, constant) for row, constant in zip(rows, constants)]
+        if len(margins) > 1:
+            return softmax(margins)
+        return bound(margins[0], lambda margin: F.array(sigmoid(-margin), sigmoid(margin)))
+
+    return bound(features, probabilities)
 
 
 def score_equations(rows: DataFrame, probability: Column, classes: Sequence[int], weight: Column | None = None) -> DataFrame:
@@ -115,14 +130,23 @@ def perceptron_probabilities(model: MultilayerPerceptronClassificationModel, fea
     outputs, of input 2, and so on, and then the outputs' constants.
     """
     layers, weights = model.getLayers(), model.weights.toArray().tolist()
+
+    def layer(i: int, at: int) -> Callable[[Column], Column]:
+        inputs, outputs = layers[i], layers[i + 1]
+        constants = weights[at + inputs * outputs : at + (inputs + 1) * outputs]
+
+        def pass_on(values: Column) -> Column:
+            margins = [
+                weighted_sum(values, weights[at + o : at + inputs * outputs : outputs], constants[o]) for o in range(outputs)
+            ]
+            return softmax(margins) if i == len(layers) - 2 else F.array(*[sigmoid(m) for m in margins])
+
+        return pass_on
+
     values, at = features, 0
     for i, (inputs, outputs) in enumerate(zip(layers, layers[1:])):
-        constants = weights[at + inputs * outputs : at + (inputs + 1) * outputs]
-        margins = [
-            weighted_sum(values, weights[at + o : at + inputs * outputs : outputs], constants[o]) for o in range(outputs)
-        ]
+        values = bound(values, layer(i, at))
         at += (inputs + 1) * outputs
-        values = softmax(margins) if i == len(layers) - 2 else F.array(*[sigmoid(m) for m in margins])
     return values
 
 
@@ -167,28 +191,34 @@ def forest_column(nodes: DataFrame) -> Column:
 def leaf(features: Column, tree: Column, depth: int) -> Column:
     """The leaf in which a row ends: ``depth`` steps from node 0, a leaf staying where it is."""
 
-    def step(at: Column, _: Column) -> Column:
-        node = F.get(tree, at)
-        value = F.get(features, node["feature"])
-        goes_left = F.when(node["categorical"], F.array_contains(node["cuts"], value)).otherwise(
-            value <= F.get(node["cuts"], F.lit(0))
-        )
-        return F.when(node["left"] < 0, at).when(goes_left, node["left"]).otherwise(node["right"])
+    def walk(inputs: Column) -> Column:
+        def step(at: Column, _: Column) -> Column:
+            node = F.get(tree, at)
+            value = F.get(inputs, node["feature"])
+            goes_left = F.when(node["categorical"], F.array_contains(node["cuts"], value)).otherwise(
+                value <= F.get(node["cuts"], F.lit(0))
+            )
+            return F.when(node["left"] < 0, at).when(goes_left, node["left"]).otherwise(node["right"])
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
+        return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
+
+    return bound(features, walk)
 
 
 def forest_probabilities(trees: Column, features: Column, depth: int, classes: int) -> Column:
     """Every tree's leaf gives its shares of the classes; their mean is the probability."""
 
-    def shares(tree: Column) -> Column:
-        votes = F.get(tree, leaf(features, tree, depth))["votes"]
+    def normed(votes: Column) -> Column:
         total = F.aggregate(votes, F.lit(0.0), lambda a, b: a + b)
-        return F.transform(votes, lambda v: v / total)
+        return bound(total, lambda whole: F.transform(votes, lambda v: v / whole))
+
+    def mean(inputs: Column) -> Column:
+        each = F.transform(trees, lambda tree: bound(F.get(tree, leaf(inputs, tree, depth))["votes"], normed))
+        zeros = F.array(*[F.lit(0.0)] * classes)
+        summed = F.aggregate(each, zeros, lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
+        return F.transform(summed, lambda v: v / F.size(trees))
 
-    zeros = F.array(*[F.lit(0.0)] * classes)
-    summed = F.aggregate(F.transform(trees, shares), zeros, lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
-    return F.transform(summed, lambda v: v / F.size(trees))
+    return bound(features, mean)
 
 
 def leaf_counts(rows: DataFrame, trees: Column, depth: int) -> DataFrame:

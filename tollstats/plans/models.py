@@ -89,16 +89,22 @@ def feature_frame(labelled: DataFrame, scale: bool = False) -> DataFrame:
 
 
 def binary_features(
-    tables: Tables, scale: bool = False, balance: bool = True, weight_column: str | None = None, probability: float = 0.5
+    tables: Tables,
+    scale: bool = False,
+    balance: bool = True,
+    weight_column: str | None = None,
+    probability: float = 0.5,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Features labelled by the median, or by another quantile.
 
     The median label leaves class 1 at least as large as class 0, so balancing
     repeats its rows once; it acts where a label is rarer. With
     ``weight_column`` balancing sets weights instead of making copies, for the
-    models that take them (``logistic``, not the perceptron).
+    models that take them (``logistic``, not the perceptron). ``base`` is the
+    staged base of the tables, where other features start from it too.
     """
-    labelled = label_median(staged_base(tables), probability=probability)
+    labelled = label_median(staged_base(tables) if base is None else base, probability=probability)
     if balance and weight_column:
         labelled = class_weights(labelled, "label", minority=1.0, majority=0.0, weight_column=weight_column)
     elif balance:
@@ -106,8 +112,9 @@ def binary_features(
     return feature_frame(labelled, scale)
 
 
-def tercile_features(tables: Tables, scale: bool = False) -> DataFrame:
-    return feature_frame(label_terciles(staged_base(tables)), scale)
+def tercile_features(tables: Tables, scale: bool = False, base: DataFrame | None = None) -> DataFrame:
+    """Features labelled by the terciles; ``base`` as for ``binary_features``."""
+    return feature_frame(label_terciles(staged_base(tables) if base is None else base), scale)
 
 
 def binary_models(features: DataFrame) -> dict[str, Estimator]:

@@ -492,26 +492,29 @@ def _rule_gaps(model, test: DataFrame, classes: int) -> DataFrame:
 
 def ml_compare_rules(tables: Tables) -> DataFrame:
     """By how much each metric of the two comparisons differs when the rules score instead of the models."""
-    gaps = []
+    gaps, base = [], models.staged_base(tables)
     for frame, chosen, classes in (
-        (binary := models.binary_features(tables), models.binary_models(binary), models.BINARY_CLASSES),
-        (terciles := models.tercile_features(tables), models.tercile_models(terciles), models.TERCILE_CLASSES),
+        (binary := models.binary_features(tables, base=base), models.binary_models(binary), models.BINARY_CLASSES),
+        (terciles := models.tercile_features(tables, base=base), models.tercile_models(terciles), models.TERCILE_CLASSES),
     ):
         trained, _, test = models.fitted(frame, chosen)
-        own, ruled = [], []
+        both = []
         for name, model in trained.items():
             rows = modelrules.with_rules(model.transform(test), model, classes)
-            of_model, label = F.lit(name).alias("modelo"), F.col("label")
-            own.append(rows.select(of_model, label, "prediction", vector_to_array("probability").alias("probability")))
-            ruled.append(
-                rows.select(of_model, label, F.col("rule_prediction").alias("prediction"), F.col("rule_probability").alias("probability"))
+            # A row scored once counts on both sides.
+            sides = F.array(
+                F.struct(F.lit(False).alias("ruled"), "prediction", vector_to_array("probability").alias("probability")),
+                F.struct(F.lit(True).alias("ruled"), F.col("rule_prediction").alias("prediction"), F.col("rule_probability").alias("probability")),
             )
-        a, b = (
-            metrics_table(models.with_loss(reduce(DataFrame.unionByName, side), classes)).alias(alias)
-            for side, alias in ((own, "a"), (ruled, "b"))
-        )
-        differences = [F.round(F.abs(F.col(f"a.{m}") - F.col(f"b.{m}")), 6).alias(m) for m in METRICS]
-        gaps.append(a.join(b, "modelo").select("modelo", *differences))
+            both.append(rows.select(F.lit(name).alias("name"), "label", F.inline(sides)))
+        scored = reduce(DataFrame.unionByName, both).withColumn("modelo", F.struct("name", "ruled"))
+        table = metrics_table(models.with_loss(scored, classes))
+
+        def of(metric: str, ruled: bool) -> Column:
+            return F.max(F.when(F.col("modelo.ruled") == ruled, F.col(metric)))
+
+        differences = [F.round(F.abs(of(m, False) - of(m, True)), 6).alias(m) for m in METRICS]
+        gaps.append(table.groupBy(F.col("modelo.name").alias("modelo")).agg(*differences))
     return reduce(DataFrame.unionByName, gaps)
 
 
