@@ -191,7 +191,29 @@ def test_rules_read_the_inputs_once(spark):
         assert scored.first().p == pytest.approx(expected)
 
 
-@pytest.mark.parametrize("query", ["ml_compare_rules"])
+def test_score_equations_by_hand(spark):
+    """A feature that is 0 in every row keeps its equation; the probability is computed once for all classes."""
+    x = np.array([[1.0, 0.0, 0.0], [0.0, 0.0, 2.0], [3.0, 0.0, -1.0]])
+    p, label = np.array([[0.7, 0.2, 0.1], [0.1, 0.1, 0.8], [0.3, 0.6, 0.1]]), [0, 2, 2]
+    rows = spark.createDataFrame(
+        [(Vectors.dense(a), float(b), c.tolist(), Vectors.dense(c)) for a, b, c in zip(x, label, p)],
+        ["features", "label", "p", "v"],
+    )
+    equations = score_equations(rows, F.col("p"), [0, 1, 2])
+    got = {(r["class"], r.position): r.residual for r in equations.collect()}
+    ones = np.hstack([np.ones((3, 1)), x])
+    errors = p - np.eye(3)[label]
+    for c in range(3):
+        for position in range(4):
+            size = np.sqrt((errors[:, c] ** 2).sum() * (ones[:, position] ** 2).sum())
+            assert got.pop((c, position)) == pytest.approx(errors[:, c] @ ones[:, position] / size if size else 0.0)
+    assert not got
+    assert score_equations(rows.where("label > 5"), F.col("p"), [0, 1, 2]).count() == 0
+    read = score_equations(rows, vector_to_array("v"), [0, 1, 2])._jdf.queryExecution().analyzed().toString()
+    assert read.count("UDF(v") == 1
+
+
+@pytest.mark.parametrize("query", ["ml_optimality", "ml_compare_rules"])
 def test_two_labels_start_from_one_base(tables, monkeypatch, query):
     class Enough(Exception):
         pass

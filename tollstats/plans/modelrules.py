@@ -94,30 +94,47 @@ def score_equations(rows: DataFrame, probability: Column, classes: Sequence[int]
     and scale of the rows. Where a model separates the classes its errors vanish
     and have no direction, so errors count as ``LEAST_ERROR`` at least (root of
     the mean square). Position 0 is the intercept, i the i-th feature. ``weight`` repeats rows as the training
-    did. Each row costs one entry per feature, added up before the shuffle.
+    did. Each row costs one entry per feature that is not 0, added up before the shuffle.
     """
     w = F.lit(1.0) if weight is None else weight
-    errors = F.array(*[F.get(probability, F.lit(c)) - (F.col("label") == c).cast("double") for c in classes])
     inputs = F.concat(F.array(F.lit(1.0)), vector_to_array("features"))
-    entries = rows.select(w.alias("w"), errors.alias("e"), F.posexplode(inputs).alias("position", "x"))
-    x, sums = F.col("x"), []
+
+    def errors(each: Column) -> Column:
+        return F.array(*[F.get(each, F.lit(c)) - (F.col("label") == c).cast("double") for c in classes])
+
+    per_row = rows.select(w.alias("w"), bound(probability, errors).alias("e"), inputs.alias("inputs"))
+    entries = per_row.select("w", "e", F.size("inputs").alias("width"), F.posexplode("inputs").alias("position", "x"))
+    # A feature of 0 adds nothing to its equation; position 0 has an entry of every row.
+    x, products, sizes = F.col("x"), [], []
     for i in range(len(classes)):
         error = F.get("e", F.lit(i))
-        sums += [F.sum(F.col("w") * error * x).alias(f"p{i}"), F.sum(F.col("w") * error * error).alias(f"e{i}")]
-    totals = entries.groupBy("position").agg(*sums, F.sum(F.col("w") * x * x).alias("xx"), F.sum("w").alias("n"))
+        products.append(F.sum(F.col("w") * error * x).alias(f"p{i}"))
+        sizes.append(F.sum(F.col("w") * error * error).alias(f"e{i}"))
+    sums = [*products, F.sum(F.col("w") * x * x).alias("xx")]
+    totals = (
+        entries.where((F.col("position") == 0) | (x != 0))
+        .groupBy("position")
+        .agg(*sums, *sizes, F.sum("w").alias("n"), F.max("width").alias("width"))
+    )
+    # One row per feature is left: of these, all equations, also where every entry is 0.
+    of_rows = [f"e{i}" for i in range(len(classes))] + ["n", "width"]
+    of_position = [f"p{i}" for i in range(len(classes))] + ["xx"]
+    whole = totals.agg(
+        F.map_from_entries(F.collect_list(F.struct("position", F.struct(*of_position)))).alias("sums"),
+        *[F.max(F.when(F.col("position") == 0, F.col(name))).alias(name) for name in of_rows],
+    )
+    equations = whole.select("*", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("position"))
+    equations = equations.withColumn("of", F.try_element_at("sums", F.col("position")))
 
     def error_size(i: int) -> Column:
         return F.greatest(F.col(f"e{i}"), F.col("n") * LEAST_ERROR**2)
 
-    each = [
-        F.struct(
-            F.lit(int(c)).alias("class"),
-            "position",
-            F.coalesce(F.try_divide(F.col(f"p{i}"), F.sqrt(error_size(i) * F.col("xx"))), F.lit(0.0)).alias("residual"),
-        )
-        for i, c in enumerate(classes)
-    ]
-    return totals.select(F.inline(F.array(*each)))
+    def cosine(i: int) -> Column:
+        product, square = (F.coalesce(F.col(f"of.{name}"), F.lit(0.0)) for name in (f"p{i}", "xx"))
+        return F.coalesce(F.try_divide(product, F.sqrt(error_size(i) * square)), F.lit(0.0))
+
+    each = [F.struct(F.lit(int(c)).alias("class"), "position", cosine(i).alias("residual")) for i, c in enumerate(classes)]
+    return equations.select(F.inline(F.array(*each)))
 
 
 # --- perceptron --------------------------------------------------------------------

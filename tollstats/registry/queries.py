@@ -444,10 +444,10 @@ def _by_model(rows: dict[str, DataFrame]) -> DataFrame:
 
 def ml_optimality(tables: Tables) -> DataFrame:
     """The score equations of both regressions on their training rows, which vanish at the optimum."""
-    residuals = {}
+    residuals, base = {}, models.staged_base(tables)
     for name, frame, classes in (
-        (models.LOGISTIC_NAME, models.binary_features(tables), [1]),
-        (models.MULTINOMIAL_NAME, models.tercile_features(tables), [0, 1, 2]),
+        (models.LOGISTIC_NAME, models.binary_features(tables, base=base), [1]),
+        (models.MULTINOMIAL_NAME, models.tercile_features(tables, base=base), [0, 1, 2]),
     ):
         chosen = {name: (models.logistic() if len(classes) == 1 else models.multinomial())}
         trained, train, _ = models.fitted(frame, chosen)
