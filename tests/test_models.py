@@ -67,3 +67,30 @@ def test_copies_of_a_record_stay_on_one_side(spark, tables):
     grown = models.oversample(labelled, "label", 1.0, 0.0)
     train, test = models.key_split(grown, ["id_flujo"])
     assert train.join(test, "id_flujo", "left_semi").count() == 0
+
+
+def test_training_rows_are_kept_until_all_are_fitted(spark, tables):
+    seen = []
+
+    class Watching:
+        """An estimator that looks at the rows it is given."""
+
+        def __init__(self, estimator):
+            self.estimator = estimator
+
+        def __getattr__(self, name):
+            return getattr(self.estimator, name)
+
+        def fit(self, rows):
+            seen.append((rows.columns, rows.storageLevel.useDisk))
+            return self.estimator.fit(rows)
+
+    base = features.label_median(features.ml_base(tables))
+    base = base.withColumn("weight", F.lit(2.0))
+    frame = features.feature_pipeline().fit(base).transform(base)
+    chosen = {"a": Watching(models.logistic("weight").setMaxIter(1)), "b": Watching(models.logistic().setMaxIter(1))}
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    trained, train, test = models.fitted(frame, chosen)
+    assert [(set(c), kept) for c, kept in seen] == [({"features", "label", "weight"}, True)] * 2
+    assert set(trained) == {"a", "b"} and train.columns == test.columns == frame.columns
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -43,6 +44,8 @@ FOREST_DEPTH = 8
 MULTINOMIAL_ITERATIONS = 80
 BINARY_CLASSES = 2
 TERCILE_CLASSES = 3
+# Parameters of an estimator that name the columns it reads.
+TRAINED_ON = ["featuresCol", "labelCol", "weightCol"]
 
 
 def logistic(weight_column: str | None = None) -> LogisticRegression:
@@ -135,10 +138,18 @@ def tercile_models(features: DataFrame) -> dict[str, Estimator]:
 def fitted(features: DataFrame, models: Mapping[str, Estimator], seed: int = SEED) -> tuple[dict, DataFrame, DataFrame]:
     """Each model fitted on the 80 % side, and both sides.
 
-    All copies of a record fall on one side, so no test row was trained on.
+    All copies of a record fall on one side, so no test row was trained on. Each
+    estimator goes over its rows several times before it keeps them in its own
+    form, so the columns that training reads are kept on the executors' disks
+    until all are fitted.
     """
     train, test = key_split(features, ["id_flujo"], seed=seed)
-    return {name: estimator.fit(train) for name, estimator in models.items()}, train, test
+    read = {e.getOrDefault(p) for e in models.values() for p in e.params if p.name in TRAINED_ON and e.isDefined(p)}
+    kept = train.select(*[name for name in train.columns if name in read]).persist(StorageLevel.DISK_ONLY)
+    try:
+        return {name: estimator.fit(kept) for name, estimator in models.items()}, train, test
+    finally:
+        kept.unpersist()
 
 
 def train_and_score(
