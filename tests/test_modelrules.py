@@ -213,7 +213,7 @@ def test_score_equations_by_hand(spark):
     assert read.count("UDF(v") == 1
 
 
-@pytest.mark.parametrize("query", ["ml_optimality", "ml_compare_rules"])
+@pytest.mark.parametrize("query", ["ml_scored_rows", "ml_optimality", "ml_compare_rules"])
 def test_two_labels_start_from_one_base(tables, monkeypatch, query):
     class Enough(Exception):
         pass

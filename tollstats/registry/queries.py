@@ -427,7 +427,8 @@ def _scored(name: str, binary: bool) -> Callable[[Tables], DataFrame]:
 
 def ml_scored_rows(tables: Tables) -> DataFrame:
     """Test rows of every model by label, and the sum of their class probabilities."""
-    binary, terciles = models.binary_features(tables), models.tercile_features(tables)
+    base = models.staged_base(tables)
+    binary, terciles = models.binary_features(tables, base=base), models.tercile_features(tables, base=base)
     scored = models.train_and_score(binary, models.binary_models(binary)).unionByName(
         models.train_and_score(terciles, models.tercile_models(terciles))
     )
